@@ -75,7 +75,10 @@ def _lay_out(df: DataFrame, by: Sequence[str], order: Sequence[str], rows: int,
 
 
 def _like(df: DataFrame, model: DataFrame) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in model.schema])
+    """Same columns and widths as ``model`` (a sum of sums is a wider decimal)."""
+    kinds = dict(df.dtypes)
+    return df.select(*[F.col(n) if kinds[n] == kind else F.col(n).cast(kind).alias(n)
+                       for n, kind in model.dtypes])
 
 
 def _both(ordinary: DataFrame | None, large: DataFrame | None,

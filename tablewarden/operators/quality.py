@@ -48,8 +48,8 @@ def check_fk(df: DataFrame, parent: DataFrame, on: Mapping[str, str]) -> DataFra
 def check_fd(df: DataFrame, lhs: Sequence[str], rhs: str) -> DataFrame:
     """Values of ``lhs`` that go with more than one ``rhs``; NULL counts as a value."""
     return (df.groupBy(*lhs).agg((F.count_distinct(rhs) + F.max(F.col(rhs).isNull().cast("int")))
-                                 .alias("values"))
-            .where(F.col("values") > 1))
+                                 .alias("value_count"))
+            .where(F.col("value_count") > 1))
 
 
 def quality_report(df: DataFrame, rules: Rules) -> DataFrame:

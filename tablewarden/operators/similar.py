@@ -1,4 +1,4 @@
-"""Near-repeats: pairs of values within a small edit distance, and of similar token sets."""
+"""Near-repeats: values within a small edit distance, records that agree in all fields but one."""
 
 from __future__ import annotations
 
@@ -44,3 +44,23 @@ def fuzzy_pairs(df: DataFrame, col: str, max_dist: int = 1, block: Sequence[str]
             .where(F.col("left_value") < F.col("right_value"))
             .withColumn("distance", near).where(F.col("distance") >= 0)
             .drop("_key").distinct())
+
+
+def near_repeats(df: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """Groups of records that agree in all of ``fields`` but one.
+
+    One row per group and differing field: the agreeing values (NULL in the differing
+    field), how many values the field takes, the smallest and largest of them as text, and
+    the rows. A group is one result row whatever its size; no pairs are listed.
+    """
+    records = df.groupBy(*fields).agg(F.count(F.lit(1)).alias("_n"))
+    copies = records.select("*", *[F.col(f).cast("string").alias(f"_v_{f}") for f in fields])
+    sets = [[F.col(g) for g in fields if g != f] for f in fields]
+    grouped = copies.groupingSets(sets, *[F.col(f) for f in fields])
+    differing = F.coalesce(*[F.when(F.grouping(f) == 1, F.lit(f)) for f in fields])
+    def of(fn):
+        return F.coalesce(*[F.when(F.grouping(f) == 1, fn(f"_v_{f}")) for f in fields])
+    return (grouped.agg(differing.alias("differing_field"), F.count(F.lit(1)).alias("value_count"),
+                        of(F.min).alias("lowest"), of(F.max).alias("highest"),
+                        F.sum("_n").alias("rows"))
+            .where(F.col("value_count") > 1))

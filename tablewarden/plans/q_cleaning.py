@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from tablewarden.functions.columns import money, null_if_token, tidy_text
 from tablewarden.operators import cleaning as C
-from tablewarden.operators.similar import fuzzy_pairs
+from tablewarden.operators.similar import fuzzy_pairs, near_repeats
 from tablewarden.plans.registry import query
 from tablewarden.plans.values import number
 
@@ -154,6 +154,22 @@ def c11_fuzzy_pairs(t):
                     F.col("distance").cast("bigint").alias("distance")))
 
 
+_FIELDS = ["p_name", "p_brand", "p_type", "p_size"]
+
+
+def _near_sql(field: str) -> str:
+    kept = [f for f in _FIELDS if f != field]
+    shown = ", ".join(f if f in kept else f"NULL AS {f}" for f in _FIELDS)
+    return f"""SELECT {shown}, '{field}' AS differing_field, count(DISTINCT {field}) AS value_count,
+  min(CAST({field} AS VARCHAR)) AS lowest, max(CAST({field} AS VARCHAR)) AS highest, count(*) AS rows
+FROM part GROUP BY {", ".join(kept)} HAVING count(DISTINCT {field}) > 1"""
+
+
+@query("\nUNION ALL ".join(_near_sql(f) for f in _FIELDS))
+def c12_near_repeats(t):
+    return near_repeats(t.part, _FIELDS)
+
+
 @query("""WITH g AS (SELECT event_type, avg(value) AS m, stddev_samp(value) AS s
   FROM events GROUP BY event_type)
 SELECT event_id, event_type, value,

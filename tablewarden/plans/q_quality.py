@@ -71,7 +71,7 @@ def v3_check_fk_clean(t):
             .select("l_orderkey", "l_partkey"))
 
 
-@query("""SELECT p_name, count(DISTINCT p_brand) AS "values" FROM part
+@query("""SELECT p_name, count(DISTINCT p_brand) AS value_count FROM part
 GROUP BY p_name HAVING count(DISTINCT p_brand) > 1""")
 def v4_check_fd(t):
     return Q.check_fd(t.part, ["p_name"], "p_brand")
