@@ -66,8 +66,8 @@ def fill_group(df: DataFrame, col: str, by: Sequence[str], how: str = "mean",
         stats = exact_quantiles(df, by, col, {"_fill": 0.5}, max_rows)
     elif how == "mode":
         counts = present.groupBy(*by, col).agg(F.count(F.lit(1)).alias("_n"))
-        top = counts.groupBy(*by).agg(F.max("_n").alias("_n"))
-        stats = counts.join(top, [*by, "_n"]).groupBy(*by).agg(F.min(col).alias("_fill"))
+        stats = counts.groupBy(*by).agg(
+            F.min_by(col, F.struct(-F.col("_n"), F.col(col))).alias("_fill"))
     else:
         raise ValueError(how)
     kind = df.schema[col].dataType if how == "mode" else "double"
@@ -133,9 +133,9 @@ def bucketize(df: DataFrame, col: str, n: int, how: str = "width", order: Sequen
               name: str = "bucket", max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Bucket number from 1: equal-width over the range, or equal-count by rank."""
     if how == "width":
-        edges = df.agg(F.min(col).cast("double").alias("_min"),
-                       F.max(col).cast("double").alias("_max"))
-        low, high = edges.select("_min").scalar(), edges.select("_max").scalar()
+        edges = df.agg(F.struct(F.min(col).cast("double").alias("low"),
+                                F.max(col).cast("double").alias("high"))).scalar()
+        low, high = edges["low"], edges["high"]
         value = F.col(col).cast("double")
         place = F.floor((value - low) / F.nullif(high - low, F.lit(0.0)) * n) + 1
         return df.withColumn(name, F.when(value.isNotNull(),
@@ -157,5 +157,13 @@ def ntile_of(rank: Column, rows: Column, n: int) -> Column:
         bigger + F.floor((rank - 1 - edge) / F.nullif(size, F.lit(0))) + 1)
 
 
-def mask(df: DataFrame, col: str, pattern: str, replacement: str = "***") -> DataFrame:
-    return _replace(df, {col: F.regexp_replace(F.col(col), pattern, replacement)})
+def mask(df: DataFrame, col: str, pattern: str, replacement: str = "***",
+         contains: str | None = None) -> DataFrame:
+    """Replace every match of ``pattern``.
+
+    ``contains`` names a text that every match holds; values without it skip the pattern.
+    """
+    masked = F.regexp_replace(F.col(col), pattern, replacement)
+    if contains is not None:
+        masked = F.when(F.contains(F.col(col), F.lit(contains)), masked).otherwise(F.col(col))
+    return _replace(df, {col: masked})

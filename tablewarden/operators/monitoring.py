@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewarden.operators.lookup import lookup_join
-from tablewarden.operators.ordered import MAX_GROUP_ROWS, number_rows, running, windowed
+from tablewarden.operators.ordered import (
+    MAX_GROUP_ROWS, limit_if_exceeded, number_rows, running, windowed)
 from tablewarden.operators.quantiles import approximate_quantiles, exact_quantiles
 from tablewarden.operators.reshape import rank_in, top_k
 
@@ -50,8 +51,8 @@ def profile(df: DataFrame, exact: bool = False) -> DataFrame:
 
 def histogram(df: DataFrame, col: str, n: int) -> DataFrame:
     """Rows per equal-width bucket (from 1), with the bucket's lower edge."""
-    edges = df.agg(F.min(col).alias("low"), F.max(col).alias("high"))
-    low, high = edges.select("low").scalar(), edges.select("high").scalar()
+    edges = df.agg(F.struct(F.min(col).alias("low"), F.max(col).alias("high"))).scalar()
+    low, high = edges["low"], edges["high"]
     place = F.floor((F.col(col) - low) / F.nullif(high - low, F.lit(0.0)) * n) + 1
     bucket = F.least(F.coalesce(place, F.lit(1)), F.lit(n).cast("bigint"))
     counted = (df.where(F.col(col).isNotNull()).groupBy(bucket.alias("bucket"))
@@ -67,11 +68,11 @@ def quantiles(df: DataFrame, col: str, wanted: Mapping[str, float] = PERCENTILES
 def key_skew(df: DataFrame, key: str, k: int) -> DataFrame:
     """The ``k`` heaviest keys with their share of the rows and ratio to the mean."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    whole = counts.agg(F.sum("rows").alias("all"), F.avg("rows").alias("mean"))
+    whole = counts.agg(F.struct(F.sum("rows").alias("all"), F.avg("rows").alias("mean"))).scalar()
     top = counts.orderBy(F.col("rows").desc(), F.col(key).asc_nulls_first()).limit(k)
     return top.select(key, "rows",
-                      (F.col("rows") / whole.select("all").scalar()).alias("share"),
-                      (F.col("rows") / whole.select("mean").scalar()).alias("ratio_to_mean"))
+                      (F.col("rows") / whole["all"]).alias("share"),
+                      (F.col("rows") / whole["mean"]).alias("ratio_to_mean"))
 
 
 def key_skew_approximate(df: DataFrame, key: str, k: int, tracked: int = 10_000) -> DataFrame:
@@ -105,6 +106,7 @@ def throughput(log: DataFrame, width: str, slide: str | None = None, by: Sequenc
 def sessions(log: DataFrame, gap_seconds: float, by: str = "session_id", ts: str = "started_at",
              tie: str = "query_id", max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """Runs of queries with no pause of ``gap_seconds`` or more."""
+    max_rows = limit_if_exceeded(log, [by], max_rows)
     spaced = windowed(log.select(by, ts, tie, "duration_ms"), [by], [ts, tie],
                       {"_before": lambda w: F.lag(ts).over(w)}, 1, 0, max_rows)
     starts = F.col("_before").isNull() | (F.col(ts) >= F.col("_before") + interval(gap_seconds))
@@ -123,7 +125,8 @@ def concurrency(log: DataFrame, by: Sequence[str] = (), ts: str = "started_at",
         F.struct(F.col(ts).alias("at"), F.lit(1).alias("change")),
         F.struct(ends.alias("at"), F.lit(-1).alias("change")))))
     net = moves.groupBy(*by, "at").agg(F.sum("change").alias("change"))
-    return running(net, by, ["at"], {"active": ("sum", "change")}, max_rows)
+    return running(net, by, ["at"], {"active": ("sum", "change")},
+                   limit_if_exceeded(log, by, max_rows, times=2))
 
 
 def peak_concurrency(log: DataFrame, by: Sequence[str] = (), ts: str = "started_at",
@@ -188,6 +191,7 @@ def alerts(metric: DataFrame, rules: Mapping[str, str], n: int, by: Sequence[str
     Breaches are numbered within their group and rule and against all buckets; the
     difference is constant in an unbroken run.
     """
+    max_rows = limit_if_exceeded(metric, by, max_rows)
     numbered = number_rows(metric, by, [order], "_place", max_rows)
     breach = F.array_compact(F.array(*[F.when(F.expr(cond), F.lit(name))
                                        for name, cond in rules.items()]))

@@ -24,6 +24,9 @@ from tablewarden.storage import materialize
 
 MAX_GROUP_ROWS = 5_000_000
 
+# Upper bound on the tasks that one table of large groups is cut into.
+MAX_SLICES = 50_000
+
 _SLICE, _POS, _BLOCK = "_slice", "_pos", "_block"
 
 
@@ -46,6 +49,24 @@ def _drop_right(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_r_{k}" for k in keys])
 
 
+def largest_group(df: DataFrame, by: Sequence[str]) -> int:
+    """Rows of the largest group: one aggregate over the key columns, one number back."""
+    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
+    return counts.agg(F.max("_rows")).first()[0] or 0
+
+
+def limit_if_exceeded(df: DataFrame, by: Sequence[str], max_rows: int | None, times: int = 1
+                      ) -> int | None:
+    """``max_rows`` when a group of ``df``, taken ``times`` over, exceeds it, else None.
+
+    For operators of several ordered steps: one count of the input settles that the
+    steps need none of their own.
+    """
+    if max_rows is None or times * largest_group(df, by) <= max_rows:
+        return None
+    return max_rows
+
+
 def split_large(df: DataFrame, by: Sequence[str], max_rows: int
                 ) -> tuple[DataFrame | None, DataFrame | None, int]:
     """Rows of ordinary groups, rows of groups above ``max_rows``, and the latter's number."""
@@ -66,7 +87,8 @@ def _lay_out(df: DataFrame, by: Sequence[str], order: Sequence[str], rows: int,
              max_rows: int) -> DataFrame:
     """Write the rows in (group, order), with the slice and a position that follows the order."""
     spark = df.sparkSession
-    slices = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * -(-rows // max_rows))
+    slices = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                 min(MAX_SLICES, 2 * -(-rows // max_rows)))
     keys = [F.col(b).asc_nulls_first() for b in by] + sort_columns(order)
     ranged = (df.repartitionByRange(slices, *keys).sortWithinPartitions(*keys)
               .withColumn(_SLICE, F.spark_partition_id())

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewarden.operators.ordered import MAX_GROUP_ROWS, running
+from tablewarden.operators.ordered import MAX_GROUP_ROWS, limit_if_exceeded, running
 from tablewarden.storage import materialize
 
 
@@ -21,13 +21,11 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], col: str, wanted: Mapping[
     """One row per group with the interpolated quantiles named in ``wanted``."""
     present = df.where(F.col(col).isNotNull()).select(*by, F.col(col).alias("_v"))
     counts = present.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    totals = present.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    biggest = totals.agg(F.max("_n")).first()[0] or 0
-    if biggest > max_rows:
+    limit = limit_if_exceeded(present, by, max_rows)
+    if limit is not None:
         counts = materialize(counts, "value_counts")
     ranked = running(counts, by, ["_v"],
-                     {"_upto": ("sum", "_n"), "_total": ("total", "_n")},
-                     max_rows if biggest > max_rows else None)
+                     {"_upto": ("sum", "_n"), "_total": ("total", "_n")}, limit)
 
     def at(rank):
         inside = (F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto"))

@@ -12,7 +12,8 @@ from tablewarden.functions import columns as X
 from tablewarden.operators.cleaning import join_group_stats, ntile_of
 from tablewarden.operators.lookup import MAX_BROADCAST_ROWS, lookup_join
 from tablewarden.operators.ordered import (
-    MAX_GROUP_ROWS, number_rows, running, sort_columns, windowed)
+    MAX_GROUP_ROWS, largest_group, limit_if_exceeded, number_rows, running, sort_columns,
+    windowed)
 
 
 def enrich(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "inner",
@@ -22,11 +23,13 @@ def enrich(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "inner
 
 
 def keep_matching(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
-    return df.join(other.select(*on), list(on), "left_semi")
+    """Rows with a partner. Repeated keys of ``other`` collapse before its shuffle."""
+    return df.join(other.select(*on).distinct(), list(on), "left_semi")
 
 
 def drop_matching(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
-    return df.join(other.select(*on), list(on), "left_anti")
+    """Rows without a partner. Repeated keys of ``other`` collapse before its shuffle."""
+    return df.join(other.select(*on).distinct(), list(on), "left_anti")
 
 
 def join_asof(left: DataFrame, right: DataFrame, key: Sequence[str], left_ts: str, right_ts: str,
@@ -46,6 +49,8 @@ def join_asof(left: DataFrame, right: DataFrame, key: Sequence[str], left_ts: st
                                F.struct(*left.columns).alias("_left"))
     stacked = stacked_right.unionByName(stacked_left, allowMissingColumns=True)
     order = ["_ts", "_side", *[f"_tie_{c}" for c in tie]]
+    if max_rows is not None and largest_group(left, key) + largest_group(right, key) <= max_rows:
+        max_rows = None
     carried = running(stacked, key, order, {"_match": ("last", "_right")}, max_rows)
     return (carried.where(F.col("_side") == 1)
             .select("_left.*", *[F.col(f"_match.{c}").alias(c) for c in values]))
@@ -113,6 +118,7 @@ def rank_in(df: DataFrame, by: Sequence[str], order: Sequence[str], kind: str, n
         tile = ntile_of(F.col("_rank"), F.col("_total"), tiles).cast("bigint")
         return ranked.withColumn(name, tile).drop("_one", "_rank", "_total")
     keys = [c.lstrip("-") for c in order]
+    max_rows = limit_if_exceeded(df, by, max_rows)
     values = df.groupBy(*by, *keys).agg(F.count(F.lit(1)).alias("_n"))
     placed = running(values, by, order, {"_upto": ("sum", "_n"), "_dense": ("count", "_n"),
                                          "_total": ("total", "_n")}, max_rows)
@@ -141,6 +147,7 @@ def moving_by_time(df: DataFrame, by: Sequence[str], ts: str, seconds: float, va
     values cancel exactly.
     """
     span = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(seconds).cast("decimal(18,6)"))
+    max_rows = limit_if_exceeded(df, by, max_rows, times=2)
     points = df.groupBy(*by, F.col(ts).alias("_ts")).agg(
         F.sum(value).alias("_sum"), F.count(value).alias("_count"))
     enter = points.withColumn("_leaves", F.lit(0))
@@ -174,14 +181,40 @@ def union_by_name(a: DataFrame, b: DataFrame, all: bool = True) -> DataFrame:
     return both if all else both.distinct()
 
 
+# How many copies of one row a single task writes out.
+COPIES_PER_TASK = 1_000_000
+
+
+def _copies(a: DataFrame, b: DataFrame, wanted: Callable[[Column, Column], Column]) -> DataFrame:
+    """Rows with as many copies as ``wanted`` says from their counts in ``a`` and ``b``.
+
+    Copies are counted before the shuffle, and a row with very many copies is written out
+    by several tasks.
+    """
+    columns = a.columns
+    tagged = a.withColumns({"_a": F.lit(1), "_b": F.lit(0)}).unionByName(
+        b.select(*columns).withColumns({"_a": F.lit(0), "_b": F.lit(1)}))
+    counted = tagged.groupBy(*columns).agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b"))
+    size = F.lit(COPIES_PER_TASK)
+    pieces = (counted.select(*columns, wanted(F.col("_a"), F.col("_b")).alias("_n"))
+              .where(F.col("_n") > 0)
+              .select(*columns, "_n", F.explode(
+                  F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / size))).alias("_piece")))
+    here = F.least(size, F.col("_n") - F.col("_piece") * size).cast("int")
+    return (pieces.repartition(*columns, "_piece")
+            .select(*columns, F.explode(F.sequence(F.lit(1), here)).alias("_copy")).drop("_copy"))
+
+
 def intersect(a: DataFrame, b: DataFrame, all: bool = False) -> DataFrame:
-    b = b.select(*a.columns)
-    return a.intersectAll(b) if all else a.intersect(b)
+    if all:
+        return _copies(a, b, F.least)
+    return a.distinct().intersect(b.select(*a.columns).distinct())
 
 
 def subtract(a: DataFrame, b: DataFrame, all: bool = False) -> DataFrame:
-    b = b.select(*a.columns)
-    return a.exceptAll(b) if all else a.subtract(b)
+    if all:
+        return _copies(a, b, lambda x, y: x - y)
+    return a.distinct().subtract(b.select(*a.columns).distinct())
 
 
 def date_dim(days: DataFrame, start: str = "first_day", end: str = "last_day") -> DataFrame:
@@ -223,7 +256,7 @@ def apply_group(df: DataFrame, by: Sequence[str], function: Callable[[pd.DataFra
     A user function needs its group in memory, so the size is checked rather than assumed.
     A function whose results can be merged belongs in ``apply_partial_groups``.
     """
-    largest = df.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
+    largest = largest_group(df, by)
     if largest > max_rows:
         raise ValueError(f"a group of {largest} rows is above {max_rows}; use apply_partial_groups")
     return df.groupBy(*by).applyInPandas(function, schema)

@@ -29,6 +29,9 @@ def fuzzy_pairs(df: DataFrame, col: str, max_dist: int = 1, block: Sequence[str]
     """
     values = (df.where(F.col(col).isNotNull()).groupBy(*block, col)
               .agg(F.count(F.lit(1)).alias("rows")))
+    # Few values make many keys, so they are spread over all tasks first.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    values = values.repartition(tasks, *block, col)
     keys = F.array(F.col(col))
     for _ in range(max_dist):
         keys = _deletions(keys)

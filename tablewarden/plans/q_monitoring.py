@@ -10,7 +10,7 @@ from tablewarden.operators import monitoring as M
 from tablewarden.operators.lookup import salted_join
 from tablewarden.plans.registry import query
 from tablewarden.plans.values import number
-from tablewarden.storage import new_path
+from tablewarden.storage import materialize, new_path
 
 LOG = ["query_log"]
 
@@ -181,7 +181,7 @@ FROM (SELECT *, avg(queries) OVER w AS m, stddev_samp(queries) OVER w AS s
         ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING))
 WHERE abs((queries - m) / nullif(s, 0)) > 2""", LOG)
 def m9_anomalies(t):
-    hourly = M.throughput(t.query_log, "1 hour", by=["query_class"])
+    hourly = materialize(M.throughput(t.query_log, "1 hour", by=["query_class"]), "hourly")
     return M.anomalies(hourly, "queries", 24, 2.0, ["query_class"]).select(
         "bucket_start", "query_class", "queries", number("baseline", 6), number("score", 6))
 
@@ -198,6 +198,24 @@ def m10_gaps(t):
 _SPLIT = "started_at >= TIMESTAMP '2024-01-16'"
 
 
+@query(f"SELECT query_class, {_QUANTILES} FROM query_log GROUP BY 1", LOG)
+def m5_latency_split(t):
+    """Every class is above the group limit here and is worked on in slices."""
+    return M.latency(t.query_log, ["query_class"], max_rows=300).select(
+        "query_class", *[number(p, 6) for p in M.PERCENTILES])
+
+
+@query("""WITH p AS (SELECT *, lag(started_at) OVER w AS b FROM query_log
+  WINDOW w AS (PARTITION BY query_class ORDER BY started_at, query_id)),
+n AS (SELECT *, sum(CASE WHEN b IS NULL OR started_at >= b + INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
+  OVER (PARTITION BY query_class ORDER BY started_at, query_id) AS s FROM p)
+SELECT query_class, CAST(s AS BIGINT) AS session_number, min(started_at) AS first_at,
+  max(started_at) AS last_at, count(*) AS queries FROM n GROUP BY query_class, s""", LOG)
+def m7_sessions_split(t):
+    """Runs per query class, each class above the group limit."""
+    return M.sessions(t.query_log, 1800, by="query_class", max_rows=300)
+
+
 @query(f"""WITH s AS (SELECT query_class,
   quantile_cont(duration_ms, 0.5) FILTER (WHERE NOT {_SPLIT}) AS b5,
   quantile_cont(duration_ms, 0.5) FILTER (WHERE {_SPLIT}) AS a5,
@@ -234,7 +252,7 @@ r AS (SELECT *, p - row_number() OVER (PARTITION BY query_class, rule ORDER BY b
 SELECT query_class, rule, min(bucket_start) AS first_breach, max(bucket_start) AS last_breach,
   count(*) AS breaches FROM r GROUP BY query_class, rule, g HAVING count(*) >= 3""", LOG)
 def m13_alerts(t):
-    hourly = M.throughput(t.query_log, "1 hour", by=["query_class"])
+    hourly = materialize(M.throughput(t.query_log, "1 hour", by=["query_class"]), "hourly")
     return M.alerts(hourly, {"quiet": "queries <= 2", "busy": "queries >= 4"}, 3,
                     ["query_class"])
 

@@ -10,8 +10,10 @@ from tablewarden.operators import cleaning as C
 from tablewarden.operators import loading as L
 from tablewarden.operators import quality as Q
 from tablewarden.operators import reshape as R
+from tablewarden.operators.ordered import running
 from tablewarden.plans.registry import query
 from tablewarden.plans.values import number
+from tablewarden.storage import materialize
 
 
 @query("""SELECT segment, count(*) AS orders, CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE)
@@ -73,6 +75,7 @@ def t3_join_valid(t):
     """Lines with the order status that was on record on the day they shipped."""
     past = L.history_of([(t.orders_v0, "1990-01-01"), (t.orders_v1, "2000-07-01"),
                          (t.orders_v2, "2001-08-01")], ["o_orderkey"])
+    past = materialize(past, "history")
     lines = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                               "l_shipdate", "l_extendedprice")
     return R.join_valid(lines, past.withColumnRenamed("o_orderkey", "l_orderkey"),
@@ -94,6 +97,20 @@ def t4_join_asof(t):
             .select("event_id", "user_id", "purchase_id", "purchase_value"))
 
 
+@query("""SELECT a.event_id, b.event_id AS low_id, b.value AS low_value
+FROM (SELECT * FROM events WHERE value > 20) a
+ASOF LEFT JOIN (SELECT * FROM events WHERE value <= 20) b
+  ON a.event_type = b.event_type AND a.ts >= b.ts""")
+def t4_join_asof_split(t):
+    """Per event type: every type is above the group limit here."""
+    events = t.events.select("event_id", "event_type", "ts", "value")
+    low = events.where("value <= 20").select("event_type", "ts", F.col("event_id").alias("low_id"),
+                                             F.col("value").alias("low_value"))
+    high = events.where("value > 20").select("event_id", "event_type", "ts")
+    return R.join_asof(high, low, ["event_type"], "ts", "ts", ["low_id", "low_value"],
+                       max_rows=300, tie=["low_id"]).select("event_id", "low_id", "low_value")
+
+
 _PRICE = "CAST(l_extendedprice AS DECIMAL(12,2))"
 
 
@@ -179,9 +196,6 @@ def t8_unpivot(t):
                      ["l_quantity", "l_discount", "l_tax"], "measure", "amount")
 
 
-_DAY = "PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE) DESC"
-
-
 @query("""SELECT o_orderkey, row_number() OVER (PARTITION BY o_custkey
   ORDER BY o_orderdate DESC NULLS LAST, o_orderkey) AS rank FROM orders""")
 def t9_row_number(t):
@@ -228,7 +242,6 @@ _EVENT_VALUE = "CAST(value AS DECIMAL(12,2))"
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id
   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def t10_running(t):
-    from tablewarden.operators.ordered import running
     events = t.events.select("event_id", "user_id", "ts", money("value").alias("value"))
     return running(events, ["user_id"], ["ts", "event_id"], {
         "running_total": ("sum", "value"), "running_rows": ("count", "value")}).select(
@@ -250,6 +263,24 @@ def t10_moving(t):
     }, before=4, after=2).select("event_id", "moving_sum", "moving_max", "previous", "after_next")
 
 
+@query(f"""SELECT event_id,
+  CAST(sum({_EVENT_VALUE}) OVER (w ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS running_total,
+  CAST(sum({_EVENT_VALUE}) OVER (w ROWS BETWEEN 4 PRECEDING AND 2 FOLLOWING) AS DOUBLE) AS moving_sum,
+  lag(event_id, 3) OVER w AS third_before
+FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)""")
+def t10_moving_split(t):
+    """Running and moving values per event type, each type above the group limit."""
+    events = t.events.select("event_id", "event_type", "ts", money("value").alias("value"))
+    totals = running(events, ["event_type"], ["ts", "event_id"],
+                     {"running_total": ("sum", "value")}, max_rows=300)
+    return R.moving(totals, ["event_type"], ["ts", "event_id"], {
+        "moving_sum": lambda w: F.sum("value").over(w.rowsBetween(-4, 2)).cast("double"),
+        "third_before": lambda w: F.lag("event_id", 3).over(w),
+    }, before=4, after=2, max_rows=300).select(
+        "event_id", F.col("running_total").cast("double").alias("running_total"), "moving_sum",
+        "third_before")
+
+
 @query(f"""SELECT user_id, ts, CAST(sum({_EVENT_VALUE}) OVER w AS DOUBLE) AS moving_sum,
   count(*) OVER w AS moving_count
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts

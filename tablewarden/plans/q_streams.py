@@ -164,10 +164,8 @@ def x4_stream_late(t):
         t.late_events.where(chunk == i).write.mode("append").parquet(f"{path}/arrivals")
         arrivals = stream_table(t.spark, f"{path}/arrivals", "*.parquet", columns)
         state.stream_late(arrivals, path, f"{path}/checkpoint", 3600)
-    parts = [read_batches(t.spark, f"{path}/{name}", columns).select(
-        "event_id", "user_id", F.lit(flag).alias("late"))
-        for name, flag in (("on_time", False), ("late", True))]
-    return parts[0].union(parts[1])
+    return read_batches(t.spark, f"{path}/rows", columns + ", late boolean").select(
+        "event_id", "user_id", "late")
 
 
 @query("""SELECT event_id, user_id, c_name, c_mktsegment

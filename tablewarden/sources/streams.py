@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,11 +35,11 @@ def run_batches(sdf: DataFrame, work: Callable[[DataFrame, int], None], checkpoi
     return started
 
 
-def write_batch(batch: DataFrame, batch_id: int, path: str) -> None:
+def write_batch(batch: DataFrame, batch_id: int, path: str, by: Sequence[str] = ()) -> None:
     """Write a batch to its own partition; a repeated batch replaces itself."""
     (batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").parquet(path))
+     .partitionBy("batch_id", *by).parquet(path))
 
 
 def sink_batches(sdf: DataFrame, path: str, checkpoint: str, mode: str = "append"

@@ -23,7 +23,13 @@ def stream_throughput(sdf: DataFrame, width: str, slide: str | None = None, late
 
 def stream_sessions(sdf: DataFrame, gap: str, late: str = "1 hour", by: str = "session_id",
                     ts: str = "started_at") -> DataFrame:
-    """Runs of entries with no pause of ``gap`` or more, given out once they are closed."""
+    """Runs of entries with no pause of ``gap`` or more, given out once they are closed.
+
+    Entries of a session are merged before the shuffle, so a very busy key sends sessions
+    and not entries to its task.
+    """
+    sdf.sparkSession.conf.set(
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     return (sdf.withWatermark(ts, late).groupBy(by, F.session_window(ts, gap).alias("s"))
             .agg(F.count(F.lit(1)).alias("queries"), F.max(ts).alias("last_at"))
             .select(by, F.col("s.start").alias("first_at"), "last_at", "queries"))

@@ -17,7 +17,7 @@ from tablewarden.sources.streams import run_batches, write_batch
 
 def stream_late(sdf: DataFrame, path: str, checkpoint: str, late_seconds: float, ts: str = "ts"
                 ) -> StreamingQuery:
-    """Split arrivals into ``on_time`` and ``late`` tables.
+    """Store arrivals partitioned by whether they are ``late``.
 
     A row is late when it is more than ``late_seconds`` behind the newest time of all
     earlier batches. That time is stored per batch, so a repeated batch decides as before.
@@ -31,9 +31,8 @@ def stream_late(sdf: DataFrame, path: str, checkpoint: str, late_seconds: float,
         time = F.col(ts).cast("timestamp_ntz")
         late = (time < F.lit(mark).cast("timestamp_ntz") - interval(late_seconds)
                 if mark is not None else F.lit(False))
-        tagged = batch.withColumn("_late", late)
-        write_batch(tagged.where(~F.col("_late")).drop("_late"), batch_id, f"{path}/on_time")
-        write_batch(tagged.where("_late").drop("_late"), batch_id, f"{path}/late")
+        tagged = batch.withColumn("late", late)
+        write_batch(tagged, batch_id, f"{path}/rows", ["late"])
         write_batch(batch.agg(F.max(time).alias("mark")), batch_id, f"{path}/marks")
     return run_batches(sdf, work, checkpoint)
 
