@@ -27,7 +27,7 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFram
     return kept.unionByName(batch.select(*target.columns))
 
 
-def latest_changes(feed: DataFrame, keys: Sequence[str], seq: str, op: str = "op") -> DataFrame:
+def latest_changes(feed: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
     """Newest change per key, by an aggregate that keeps one row per key and task."""
     rest = [c for c in feed.columns if c not in (*keys, seq)]
     return (feed.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(seq)).alias("_row"))
@@ -41,9 +41,9 @@ def apply_changes(target: DataFrame, feed: DataFrame, keys: Sequence[str], seq:
     ``seq`` orders the changes of a key and is unique within it. Target rows without a
     change pass through.
     """
-    newest = latest_changes(feed, keys, seq, op)
-    live = newest.where(F.col(op) != "D").select(*target.columns)
-    return target.join(newest.select(*keys), list(keys), "left_anti").unionByName(live)
+    live = latest_changes(feed, keys, seq).where(F.col(op) != "D").select(*target.columns)
+    touched = feed.select(*keys).distinct()
+    return target.join(touched, list(keys), "left_anti").unionByName(live)
 
 
 def _at(at: str | Column) -> Column:

@@ -4,24 +4,42 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-MAX_BROADCAST_ROWS = 500_000
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only after counting it; larger tables stay unmarked.
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row: eight per value, and the text of everything that is not fixed-size."""
+    total = F.lit(8 * len(df.columns)).cast("bigint")
+    for field in df.schema:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            total = total + F.coalesce(F.octet_length(field.name), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            text = F.to_json(F.struct(field.name))
+            total = total + F.coalesce(F.octet_length(text), F.lit(0))
+    return total
+
+
+def table_bytes(df: DataFrame) -> int:
+    """Size of the rows, from one aggregate."""
+    return df.agg(F.sum(_row_bytes(df))).first()[0] or 0
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast only after measuring it; larger tables stay unmarked.
 
     An unmarked side is joined by shuffle, where adaptive execution splits skewed
     partitions of the other side.
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
+    return F.broadcast(df) if table_bytes(df) <= max_bytes else df
 
 
 def lookup_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "left",
-                max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    return big.join(broadcast_if_small(small, max_rows), list(on), how)
+                max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    return big.join(broadcast_if_small(small, max_bytes), list(on), how)
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], salts: int = 16,
@@ -38,7 +56,8 @@ def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], salts: int
     # At most (rows of big / hot_rows) keys.
     hot = (big.groupBy(*on).count().where(F.col("count") > hot_rows)
            .select(*on, F.lit(True).alias("_hot")))
-    spread = F.pmod(F.xxhash64(*big.columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
+    row = F.pmod(F.xxhash64(*big.columns), F.lit(salts))
+    spread = F.pmod(row + F.spark_partition_id(), F.lit(salts)).cast("int")
     left = (big.withColumn("_spread", spread).join(F.broadcast(hot), on, "left")
             .withColumn("_salt", F.when(F.col("_hot"), F.col("_spread")).otherwise(0))
             .drop("_spread", "_hot"))

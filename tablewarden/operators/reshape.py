@@ -10,16 +10,16 @@ from pyspark.sql import functions as F
 
 from tablewarden.functions import columns as X
 from tablewarden.operators.cleaning import join_group_stats, ntile_of
-from tablewarden.operators.lookup import MAX_BROADCAST_ROWS, lookup_join
+from tablewarden.operators.lookup import MAX_BROADCAST_BYTES, lookup_join
 from tablewarden.operators.ordered import (
     MAX_GROUP_ROWS, largest_group, limit_if_exceeded, number_rows, running, sort_columns,
     windowed)
 
 
 def enrich(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "inner",
-           max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Dimension lookup; the dimension is broadcast when it is counted to be small."""
-    return lookup_join(fact, dim, on, how, max_rows)
+           max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Dimension lookup; the dimension is broadcast when it is measured to be small."""
+    return lookup_join(fact, dim, on, how, max_bytes)
 
 
 def keep_matching(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -77,7 +77,7 @@ def test_lookup_join_beyond_the_broadcast_size(tables):
     plain = rows(J.lookup_join(tables.orders, tables.customer.withColumnRenamed("c_custkey", "o_custkey"),
                                ["o_custkey"]))
     large = J.lookup_join(tables.orders, tables.customer.withColumnRenamed("c_custkey", "o_custkey"),
-                          ["o_custkey"], max_rows=1)
+                          ["o_custkey"], max_bytes=1)
     assert rows(large) == plain
 
 
