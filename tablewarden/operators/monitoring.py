@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tablewarden.operators.lookup import lookup_join
 from tablewarden.operators.ordered import (
-    MAX_GROUP_ROWS, limit_if_exceeded, number_rows, running, windowed)
+    MAX_GROUP_ROWS, arrange, limit_if_exceeded, number_rows, running, windowed)
 from tablewarden.operators.quantiles import approximate_quantiles, exact_quantiles
 from tablewarden.operators.reshape import rank_in, top_k
 
@@ -106,12 +106,11 @@ def throughput(log: DataFrame, width: str, slide: str | None = None, by: Sequenc
 def sessions(log: DataFrame, gap_seconds: float, by: str = "session_id", ts: str = "started_at",
              tie: str = "query_id", max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """Runs of queries with no pause of ``gap_seconds`` or more."""
-    max_rows = limit_if_exceeded(log, [by], max_rows)
-    spaced = windowed(log.select(by, ts, tie, "duration_ms"), [by], [ts, tie],
-                      {"_before": lambda w: F.lag(ts).over(w)}, 1, 0, max_rows)
     starts = F.col("_before").isNull() | (F.col(ts) >= F.col("_before") + interval(gap_seconds))
-    numbered = running(spaced.withColumn("_starts", starts.cast("int")), [by], [ts, tie],
-                       {"session_number": ("sum", "_starts")}, max_rows)
+    numbered = (arrange(log.select(by, ts, tie), [by], [ts, tie], max_rows)
+                .windowed({"_before": lambda w: F.lag(ts).over(w)}, 1, 0)
+                .map(lambda df: df.withColumn("_starts", starts.cast("int")))
+                .running({"session_number": ("sum", "_starts")}).rows())
     return numbered.groupBy(by, "session_number").agg(
         F.min(ts).alias("first_at"), F.max(ts).alias("last_at"),
         F.count(F.lit(1)).alias("queries"))

@@ -15,6 +15,7 @@ equal rows, the sort columns must make the order total.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -35,20 +36,6 @@ def sort_columns(order: Sequence[str]) -> list[Column]:
             for c in order]
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """NULL-safe equality of ``keys`` in both tables."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
-def _drop_right(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """NULL-safe broadcast join that keeps the key columns of ``left`` only."""
-    renamed = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
-                           *[c for c in right.columns if c not in keys])
-    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
-    joined = left.join(F.broadcast(renamed), on, how)
-    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_r_{k}" for k in keys])
-
-
 def largest_group(df: DataFrame, by: Sequence[str]) -> int:
     """Rows of the largest group: one aggregate over the key columns, one number back."""
     counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
@@ -67,59 +54,98 @@ def limit_if_exceeded(df: DataFrame, by: Sequence[str], max_rows: int | None, ti
     return max_rows
 
 
-def split_large(df: DataFrame, by: Sequence[str], max_rows: int
-                ) -> tuple[DataFrame | None, DataFrame | None, int]:
-    """Rows of ordinary groups, rows of groups above ``max_rows``, and the latter's number."""
-    if not by:
-        rows = df.count()
-        return (df, None, 0) if rows <= max_rows else (None, df, rows)
-    large = (df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
+@dataclass(frozen=True)
+class Arranged:
+    """A table made ready for ordered steps that share one grouping and order.
+
+    ``model`` is the table with plain windows; it is the result when no group is large.
+    Otherwise ``ordinary`` holds the small groups and ``large`` the written rows of the
+    others, in order, with the slice and the position of each row.
+    """
+
+    by: Sequence[str]
+    order: Sequence[str]
+    max_rows: int | None
+    model: DataFrame
+    ordinary: DataFrame | None = None
+    large: DataFrame | None = None
+
+    def _with(self, step: Callable[[DataFrame], DataFrame],
+              sliced: Callable[[DataFrame], DataFrame]) -> Arranged:
+        return replace(self, model=step(self.model),
+                       ordinary=None if self.ordinary is None else step(self.ordinary),
+                       large=None if self.large is None else sliced(self.large))
+
+    def map(self, step: Callable[[DataFrame], DataFrame]) -> Arranged:
+        """A step that keeps rows and their columns, such as ``withColumn``."""
+        return self._with(step, step)
+
+    def running(self, values: Mapping[str, tuple[str, str | Column]]) -> Arranged:
+        return self._with(lambda df: _running_plain(df, self.by, self.order, values),
+                          lambda df: _running_sliced(df, self.by, values))
+
+    def windowed(self, columns: Mapping[str, Callable[[WindowSpec], Column]], before: int,
+                 after: int) -> Arranged:
+        return self._with(
+            lambda df: _windowed_plain(df, self.by, self.order, columns),
+            lambda df: _windowed_blocks(df, self.by, columns, before, after, self.max_rows))
+
+    def rows(self) -> DataFrame:
+        if self.large is None:
+            return self.model
+        kinds = dict(self.large.dtypes)
+        # A sum of sums is a wider decimal than the sum.
+        large = self.large.select(*[
+            F.col(n) if kinds[n] == kind else F.col(n).cast(kind).alias(n)
+            for n, kind in self.model.dtypes])
+        return large if self.ordinary is None else self.ordinary.unionByName(large)
+
+
+def arrange(df: DataFrame, by: Sequence[str], order: Sequence[str],
+            max_rows: int | None = MAX_GROUP_ROWS) -> Arranged:
+    """Count the groups and lay the large ones out; ``max_rows=None`` skips the count."""
+    plain = Arranged(by, order, max_rows, df)
+    if max_rows is None:
+        return plain
+    sizes = (df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
              .where(F.col("_rows") > max_rows))
-    rows = large.agg(F.sum("_rows")).first()[0]
+    rows = sizes.agg(F.sum("_rows")).first()[0]
     if not rows:
-        return df, None, 0
-    # At most (rows of the table / max_rows) keys, so the broadcast below is small.
-    keys = materialize(large.select(*by), "large_groups")
-    return _drop_right(df, keys, by, "left_anti"), _drop_right(df, keys, by, "left_semi"), rows
-
-
-def _lay_out(df: DataFrame, by: Sequence[str], order: Sequence[str], rows: int,
-             max_rows: int) -> DataFrame:
-    """Write the rows in (group, order), with the slice and a position that follows the order."""
-    spark = df.sparkSession
-    slices = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                 min(MAX_SLICES, 2 * -(-rows // max_rows)))
+        return plain
+    if by:
+        # At most (rows of the table / max_rows) keys, so these broadcasts are small.
+        keys = materialize(sizes.select(*by), "large_groups")
+        ordinary = _join_small(df, keys, by, "left_anti")
+        chosen = _join_small(df, keys, by, "left_semi")
+    else:
+        ordinary, chosen = None, df
+    shuffle_tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = max(shuffle_tasks, min(MAX_SLICES, 2 * -(-rows // max_rows)))
     keys = [F.col(b).asc_nulls_first() for b in by] + sort_columns(order)
-    ranged = (df.repartitionByRange(slices, *keys).sortWithinPartitions(*keys)
-              .withColumn(_SLICE, F.spark_partition_id())
-              .withColumn(_POS, F.monotonically_increasing_id()))
-    return materialize(ranged, "slices")
+    laid = (chosen.repartitionByRange(slices, *keys).sortWithinPartitions(*keys)
+            .withColumn(_SLICE, F.spark_partition_id())
+            .withColumn(_POS, F.monotonically_increasing_id()))
+    return replace(plain, ordinary=ordinary, large=materialize(laid, "slices"))
 
 
-def _like(df: DataFrame, model: DataFrame) -> DataFrame:
-    """Same columns and widths as ``model`` (a sum of sums is a wider decimal)."""
-    kinds = dict(df.dtypes)
-    return df.select(*[F.col(n) if kinds[n] == kind else F.col(n).cast(kind).alias(n)
-                       for n, kind in model.dtypes])
-
-
-def _both(ordinary: DataFrame | None, large: DataFrame | None,
-          model: DataFrame) -> DataFrame:
-    if large is None:
-        return ordinary
-    large = _like(large, model)
-    return large if ordinary is None else ordinary.unionByName(large)
+def _join_small(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """NULL-safe broadcast join that keeps the key columns of ``left`` only."""
+    renamed = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
+                           *[c for c in right.columns if c not in keys])
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    joined = left.join(F.broadcast(renamed), on, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_r_{k}" for k in keys])
 
 
 # name -> (aggregate over rows so far, value of one slice, merge of slice values, combination)
 _RUNNING: dict[str, tuple[Callable, Callable, Callable, Callable]] = {
-    "sum": (F.sum, lambda c: F.sum(c), F.sum,
+    "sum": (F.sum, F.sum, F.sum,
             lambda before, here: F.when(before.isNull(), here).when(here.isNull(), before)
             .otherwise(before + here)),
-    "count": (F.count, lambda c: F.count(c), F.sum,
+    "count": (F.count, F.count, F.sum,
               lambda before, here: F.coalesce(before, F.lit(0)) + here),
-    "min": (F.min, lambda c: F.min(c), F.min, F.least),
-    "max": (F.max, lambda c: F.max(c), F.max, F.greatest),
+    "min": (F.min, F.min, F.min, F.least),
+    "max": (F.max, F.max, F.max, F.greatest),
     "last": (lambda c: F.last(c, ignorenulls=True),
              lambda c: F.max_by(c, F.when(c.isNotNull(), F.col(_POS))),
              lambda c: F.last(c, ignorenulls=True),
@@ -131,83 +157,55 @@ _RUNNING: dict[str, tuple[Callable, Callable, Callable, Callable]] = {
 }
 
 
-def running(df: DataFrame, by: Sequence[str], order: Sequence[str],
-            values: Mapping[str, tuple[str, str | Column]],
-            max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
-    """Add running values, the current row included.
-
-    ``values`` maps a new column to (function, input); the functions are sum, count, min,
-    max, last (newest non-NULL value), first, and total (sum over the whole group).
-    ``max_rows=None`` skips the count where the caller knows that groups are small.
-    """
-    inputs = {n: (fn, F.col(c) if isinstance(c, str) else c) for n, (fn, c) in values.items()}
-
-    def plain(part: DataFrame) -> DataFrame:
-        whole = Window.partitionBy(*by)
-        upto = whole.orderBy(*sort_columns(order)).rowsBetween(Window.unboundedPreceding, 0)
-        return part.select("*", *[
-            (F.sum(c).over(whole) if fn == "total" else _RUNNING[fn][0](c).over(upto)).alias(n)
-            for n, (fn, c) in inputs.items()])
+def _running_plain(df: DataFrame, by: Sequence[str], order: Sequence[str],
+                   values: Mapping[str, tuple[str, str | Column]]) -> DataFrame:
+    whole = Window.partitionBy(*by)
+    upto = whole.orderBy(*sort_columns(order)).rowsBetween(Window.unboundedPreceding, 0)
+    return df.select("*", *[
+        (F.sum(c).over(whole) if fn == "total" else _RUNNING[fn][0](c).over(upto)).alias(n)
+        for n, (fn, c) in values.items()])
 
-    if max_rows is None:
-        return plain(df)
-    ordinary, large, rows = split_large(df, by, max_rows)
-    if large is None:
-        return plain(df)
 
-    laid = _lay_out(large.select("*", *[c.alias(f"_in_{n}") for n, (_, c) in inputs.items()]),
-                    by, order, rows, max_rows)
+def _running_sliced(laid: DataFrame, by: Sequence[str],
+                    values: Mapping[str, tuple[str, str | Column]]) -> DataFrame:
+    """Running values within each slice, on top of the values of the slices before it."""
+    kept = laid.columns
+    laid = laid.select("*", *[(F.col(c) if isinstance(c, str) else c).alias(f"_in_{n}")
+                              for n, (_, c) in values.items()])
     # One row per (large group, slice): bounded by the number of slices plus large groups.
     per_slice = laid.groupBy(*by, _SLICE).agg(*[
         (F.sum(f"_in_{n}") if fn == "total" else _RUNNING[fn][1](F.col(f"_in_{n}")))
-        .alias(f"_at_{n}") for n, (fn, _) in inputs.items()])
+        .alias(f"_at_{n}") for n, (fn, _) in values.items()])
     group = Window.partitionBy(*by)
     before = group.orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     carried = per_slice.select(*by, _SLICE, *[
         (F.sum(f"_at_{n}").over(group) if fn == "total"
          else _RUNNING[fn][2](F.col(f"_at_{n}")).over(before)).alias(f"_before_{n}")
-        for n, (fn, _) in inputs.items()])
+        for n, (fn, _) in values.items()])
     here = (Window.partitionBy(*by, _SLICE).orderBy(_POS)
             .rowsBetween(Window.unboundedPreceding, 0))
     within = laid.select("*", *[
         _RUNNING[fn][0](F.col(f"_in_{n}")).over(here).alias(f"_here_{n}")
-        for n, (fn, _) in inputs.items() if fn != "total"])
-    joined = _drop_right(within, carried, [*by, _SLICE], "left")
-    done = joined.select(*df.columns, *[
+        for n, (fn, _) in values.items() if fn != "total"])
+    joined = _join_small(within, carried, [*by, _SLICE], "left")
+    return joined.select(*kept, *[
         (F.col(f"_before_{n}") if fn == "total"
          else _RUNNING[fn][3](F.col(f"_before_{n}"), F.col(f"_here_{n}"))).alias(n)
-        for n, (fn, _) in inputs.items()])
-    model = plain(df)
-    return _both(None if ordinary is None else plain(ordinary), done, model)
-
-
-def number_rows(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str = "row_number",
-                max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
-    """Add the position of each row in its group, from 1."""
-    return running(df, by, order, {name: ("count", F.lit(1))}, max_rows)
+        for n, (fn, _) in values.items()])
 
 
-def windowed(df: DataFrame, by: Sequence[str], order: Sequence[str],
-             columns: Mapping[str, Callable[[WindowSpec], Column]], before: int, after: int,
-             max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
-    """Add columns that look at most ``before`` rows back and ``after`` rows ahead.
+def _windowed_plain(df: DataFrame, by: Sequence[str], order: Sequence[str],
+                    columns: Mapping[str, Callable[[WindowSpec], Column]]) -> DataFrame:
+    w = Window.partitionBy(*by).orderBy(*sort_columns(order))
+    return df.select("*", *[make(w).alias(n) for n, make in columns.items()])
 
-    ``columns`` maps a name to a function of an ordered window, for example
-    ``lambda w: F.avg("v").over(w.rowsBetween(-3, 0))`` or ``lambda w: F.lag("v").over(w)``.
-    A large group is cut into blocks of consecutive rows; the few rows that a
-    neighbouring block can see are copied to it.
-    """
-    def plain(part: DataFrame) -> DataFrame:
-        w = Window.partitionBy(*by).orderBy(*sort_columns(order))
-        return part.select("*", *[make(w).alias(n) for n, make in columns.items()])
 
-    if max_rows is None:
-        return plain(df)
-    ordinary, large, rows = split_large(df, by, max_rows)
-    if large is None:
-        return plain(df)
+def _windowed_blocks(laid: DataFrame, by: Sequence[str],
+                     columns: Mapping[str, Callable[[WindowSpec], Column]], before: int,
+                     after: int, max_rows: int) -> DataFrame:
+    """Windows over blocks of consecutive rows; rows that a neighbour can see are copied to it."""
+    kept = laid.columns
     size = max(max_rows, before + after, 1)
-    laid = _lay_out(large, by, order, rows, max_rows)
     # A group lies in consecutive positions of a slice, so its first position and the rows
     # in earlier slices give every row's rank without sorting again.
     starts = laid.groupBy(*by, _SLICE).agg(F.min(_POS).alias("_start"),
@@ -216,7 +214,7 @@ def windowed(df: DataFrame, by: Sequence[str], order: Sequence[str],
                .rowsBetween(Window.unboundedPreceding, -1))
     starts = starts.select(*by, _SLICE, "_start",
                            F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
-    ranked = (_drop_right(laid, starts, [*by, _SLICE], "left")
+    ranked = (_join_small(laid, starts, [*by, _SLICE], "left")
               .withColumn("_rank", F.col("_offset") + F.col(_POS) - F.col("_start")))
     block = F.floor(F.col("_rank") / size)
     inside = F.col("_rank") % size
@@ -224,12 +222,38 @@ def windowed(df: DataFrame, by: Sequence[str], order: Sequence[str],
         block,
         F.when(inside >= size - before, block + 1),
         F.when((inside < after) & (block > 0), block - 1)))
-    copied = ranked.select(*df.columns, "_rank", block.alias("_home"),
-                           F.explode(homes).alias(_BLOCK))
+    copied = ranked.select(*kept, "_rank", block.alias("_home"), F.explode(homes).alias(_BLOCK))
     w = Window.partitionBy(*by, _BLOCK).orderBy("_rank")
-    done = (copied.select("*", *[make(w).alias(n) for n, make in columns.items()])
-            .where(F.col("_home") == F.col(_BLOCK)).select(*df.columns, *columns))
-    return _both(None if ordinary is None else plain(ordinary), done, plain(df))
+    return (copied.select("*", *[make(w).alias(n) for n, make in columns.items()])
+            .where(F.col("_home") == F.col(_BLOCK)).select(*kept, *columns))
+
+
+def running(df: DataFrame, by: Sequence[str], order: Sequence[str],
+            values: Mapping[str, tuple[str, str | Column]],
+            max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+    """Add running values, the current row included.
+
+    ``values`` maps a new column to (function, input); the functions are sum, count, min,
+    max, last (newest non-NULL value), first, and total (sum over the whole group).
+    """
+    return arrange(df, by, order, max_rows).running(values).rows()
+
+
+def number_rows(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str = "row_number",
+                max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+    """Add the position of each row in its group, from 1."""
+    return running(df, by, order, {name: ("count", F.lit(1))}, max_rows)
+
+
+def windowed(df: DataFrame, by: Sequence[str], order: Sequence[str],
+             columns: Mapping[str, Callable[[WindowSpec], Column]], before: int, after: int,
+             max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+    """Add columns that look at most ``before`` rows back and ``after`` rows ahead.
+
+    ``columns`` maps a name to a function of an ordered window, for example
+    ``lambda w: F.avg("v").over(w.rowsBetween(-3, 0))`` or ``lambda w: F.lag("v").over(w)``.
+    """
+    return arrange(df, by, order, max_rows).windowed(columns, before, after).rows()
 
 
 def last_known(df: DataFrame, by: Sequence[str], order: Sequence[str], columns: Sequence[str],

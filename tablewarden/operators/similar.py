@@ -25,7 +25,8 @@ def fuzzy_pairs(df: DataFrame, col: str, max_dist: int = 1, block: Sequence[str]
     Equal values are counted once, so copies make no pairs among themselves. Two texts
     within d edits share a text that is left after at most d deletions from each; joining
     on those finds every pair without comparing a block with itself. How many values can
-    share such a text is bounded by its length and the alphabet, not by the table.
+    share such a text is bounded by its length and the alphabet, not by the table. The
+    texts are joined by their hash; the distance is checked afterwards.
     """
     values = (df.where(F.col(col).isNotNull()).groupBy(*block, col)
               .agg(F.count(F.lit(1)).alias("rows")))
@@ -36,7 +37,7 @@ def fuzzy_pairs(df: DataFrame, col: str, max_dist: int = 1, block: Sequence[str]
     for _ in range(max_dist):
         keys = _deletions(keys)
     spread = values.select(*block, F.col(col).alias("value"), "rows",
-                           F.explode(keys).alias("_key"))
+                           F.explode(F.array_distinct(F.transform(keys, lambda k: F.xxhash64(k)))).alias("_key"))
     left = spread.select(*block, "_key", F.col("value").alias("left_value"),
                          F.col("rows").alias("left_rows"))
     right = spread.select(*block, "_key", F.col("value").alias("right_value"),

@@ -10,7 +10,7 @@ from tablewarden.operators import cleaning as C
 from tablewarden.operators import loading as L
 from tablewarden.operators import quality as Q
 from tablewarden.operators import reshape as R
-from tablewarden.operators.ordered import running
+from tablewarden.operators.ordered import arrange, running
 from tablewarden.plans.registry import query
 from tablewarden.plans.values import number
 from tablewarden.storage import materialize
@@ -271,14 +271,12 @@ FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)""")
 def t10_moving_split(t):
     """Running and moving values per event type, each type above the group limit."""
     events = t.events.select("event_id", "event_type", "ts", money("value").alias("value"))
-    totals = running(events, ["event_type"], ["ts", "event_id"],
-                     {"running_total": ("sum", "value")}, max_rows=300)
-    return R.moving(totals, ["event_type"], ["ts", "event_id"], {
-        "moving_sum": lambda w: F.sum("value").over(w.rowsBetween(-4, 2)).cast("double"),
-        "third_before": lambda w: F.lag("event_id", 3).over(w),
-    }, before=4, after=2, max_rows=300).select(
-        "event_id", F.col("running_total").cast("double").alias("running_total"), "moving_sum",
-        "third_before")
+    done = (arrange(events, ["event_type"], ["ts", "event_id"], max_rows=300)
+            .running({"running_total": ("sum", "value")})
+            .windowed({"moving_sum": lambda w: F.sum("value").over(w.rowsBetween(-4, 2)),
+                       "third_before": lambda w: F.lag("event_id", 3).over(w)}, 4, 2).rows())
+    return done.select("event_id", F.col("running_total").cast("double").alias("running_total"),
+                       F.col("moving_sum").cast("double").alias("moving_sum"), "third_before")
 
 
 @query(f"""SELECT user_id, ts, CAST(sum({_EVENT_VALUE}) OVER w AS DOUBLE) AS moving_sum,
