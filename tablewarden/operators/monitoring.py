@@ -119,13 +119,18 @@ def sessions(log: DataFrame, gap_seconds: float, by: str = "session_id", ts: str
 def concurrency(log: DataFrame, by: Sequence[str] = (), ts: str = "started_at",
                 max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """Running work after each start or end. Work that ends at an instant ends first."""
-    ends = F.col(ts) + interval(F.col("duration_ms") / 1000)
-    moves = log.select(*by, F.inline(F.array(
-        F.struct(F.col(ts).alias("at"), F.lit(1).alias("change")),
-        F.struct(ends.alias("at"), F.lit(-1).alias("change")))))
+    max_rows = limit_if_exceeded(log, by, max_rows, times=2)
+    micros = F.round(F.col("duration_ms") * 1000).cast("bigint")
+    ends = F.timestamp_add("MICROSECOND", micros, F.col(ts))
+    work = log.select(*by, F.col(ts).alias("_start"), ends.alias("_end"))
+    if max_rows is None and by:
+        # One shuffle then serves both the grouping by time and the window.
+        work = work.repartition(*by)
+    moves = work.select(*by, F.inline(F.array(
+        F.struct(F.col("_start").alias("at"), F.lit(1).alias("change")),
+        F.struct(F.col("_end").alias("at"), F.lit(-1).alias("change")))))
     net = moves.groupBy(*by, "at").agg(F.sum("change").alias("change"))
-    return running(net, by, ["at"], {"active": ("sum", "change")},
-                   limit_if_exceeded(log, by, max_rows, times=2))
+    return running(net, by, ["at"], {"active": ("sum", "change")}, max_rows)
 
 
 def peak_concurrency(log: DataFrame, by: Sequence[str] = (), ts: str = "started_at",

@@ -107,9 +107,17 @@ def rank_in(df: DataFrame, by: Sequence[str], order: Sequence[str], kind: str, n
             tiles: int = 4, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """row_number, rank, dense_rank, percent_rank or ntile.
 
-    The ranks with ties count equal values first and number the distinct ones, so a value
-    shared by very many rows is one row in the ordered step.
+    Spark's own functions where all groups are small. In larger ones, the ranks with ties
+    count equal values first and number the distinct ones, so a value shared by very many
+    rows is one row in the ordered step.
     """
+    direct = {"row_number": F.row_number, "rank": F.rank, "dense_rank": F.dense_rank,
+              "percent_rank": F.percent_rank, "ntile": lambda: F.ntile(tiles)}[kind]
+    max_rows = limit_if_exceeded(df, by, max_rows)
+    if max_rows is None:
+        w = Window.partitionBy(*by).orderBy(*sort_columns(order))
+        value = direct().over(w)
+        return df.withColumn(name, value if kind == "percent_rank" else value.cast("bigint"))
     if kind == "row_number":
         return number_rows(df, by, order, name, max_rows)
     if kind == "ntile":
@@ -118,7 +126,6 @@ def rank_in(df: DataFrame, by: Sequence[str], order: Sequence[str], kind: str, n
         tile = ntile_of(F.col("_rank"), F.col("_total"), tiles).cast("bigint")
         return ranked.withColumn(name, tile).drop("_one", "_rank", "_total")
     keys = [c.lstrip("-") for c in order]
-    max_rows = limit_if_exceeded(df, by, max_rows)
     values = df.groupBy(*by, *keys).agg(F.count(F.lit(1)).alias("_n"))
     placed = running(values, by, order, {"_upto": ("sum", "_n"), "_dense": ("count", "_n"),
                                          "_total": ("total", "_n")}, max_rows)
@@ -148,12 +155,17 @@ def moving_by_time(df: DataFrame, by: Sequence[str], ts: str, seconds: float, va
     """
     span = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(seconds).cast("decimal(18,6)"))
     max_rows = limit_if_exceeded(df, by, max_rows, times=2)
-    points = df.groupBy(*by, F.col(ts).alias("_ts")).agg(
-        F.sum(value).alias("_sum"), F.count(value).alias("_count"))
-    enter = points.withColumn("_leaves", F.lit(0))
-    leave = points.select(*by, (F.col("_ts") + span).alias("_ts"), (-F.col("_sum")).alias("_sum"),
-                          (-F.col("_count")).alias("_count"), F.lit(1).alias("_leaves"))
-    both = running(enter.unionByName(leave), by, ["_ts", "_leaves"],
+    source = df.select(*by, F.col(ts).alias("_ts"), F.col(value).alias("_value"))
+    if max_rows is None and by:
+        # One shuffle then serves both the grouping by time and the window.
+        source = source.repartition(*by)
+    points = source.groupBy(*by, "_ts").agg(
+        F.sum("_value").alias("_sum"), F.count("_value").alias("_count"))
+    moves = points.select(*by, F.inline(F.array(
+        F.struct("_ts", "_sum", "_count", F.lit(0).alias("_leaves")),
+        F.struct((F.col("_ts") + span).alias("_ts"), (-F.col("_sum")).alias("_sum"),
+                 (-F.col("_count")).alias("_count"), F.lit(1).alias("_leaves")))))
+    both = running(moves, by, ["_ts", "_leaves"],
                    {"moving_sum": ("sum", "_sum"), "moving_count": ("sum", "_count")}, max_rows)
     return (both.where(F.col("_leaves") == 0)
             .select(*by, F.col("_ts").alias(ts), "moving_sum", "moving_count"))
