@@ -9,7 +9,7 @@ from tablewarden.operators import layout as Y
 from tablewarden.operators import monitoring as M
 from tablewarden.operators.lookup import salted_join
 from tablewarden.plans.registry import query
-from tablewarden.plans.values import number
+from tablewarden.plans.values import number, small_limit
 from tablewarden.storage import materialize, new_path
 
 LOG = ["query_log"]
@@ -201,7 +201,7 @@ _SPLIT = "started_at >= TIMESTAMP '2024-01-16'"
 @query(f"SELECT query_class, {_QUANTILES} FROM query_log GROUP BY 1", LOG)
 def m5_latency_split(t):
     """Every class is above the group limit here and is worked on in slices."""
-    return M.latency(t.query_log, ["query_class"], max_rows=300).select(
+    return M.latency(t.query_log, ["query_class"], max_rows=small_limit(t.events)).select(
         "query_class", *[number(p, 6) for p in M.PERCENTILES])
 
 
@@ -213,7 +213,7 @@ SELECT query_class, CAST(s AS BIGINT) AS session_number, min(started_at) AS firs
   max(started_at) AS last_at, count(*) AS queries FROM n GROUP BY query_class, s""", LOG)
 def m7_sessions_split(t):
     """Runs per query class, each class above the group limit."""
-    return M.sessions(t.query_log, 1800, by="query_class", max_rows=300)
+    return M.sessions(t.query_log, 1800, by="query_class", max_rows=small_limit(t.events))
 
 
 @query(f"""WITH s AS (SELECT query_class,

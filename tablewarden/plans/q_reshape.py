@@ -12,7 +12,7 @@ from tablewarden.operators import quality as Q
 from tablewarden.operators import reshape as R
 from tablewarden.operators.ordered import arrange, running
 from tablewarden.plans.registry import query
-from tablewarden.plans.values import number
+from tablewarden.plans.values import number, small_limit
 from tablewarden.storage import materialize
 
 
@@ -108,7 +108,7 @@ def t4_join_asof_split(t):
                                              F.col("value").alias("low_value"))
     high = events.where("value > 20").select("event_id", "event_type", "ts")
     return R.join_asof(high, low, ["event_type"], "ts", "ts", ["low_id", "low_value"],
-                       max_rows=300, tie=["low_id"]).select("event_id", "low_id", "low_value")
+                       max_rows=small_limit(t.events), tie=["low_id"]).select("event_id", "low_id", "low_value")
 
 
 _PRICE = "CAST(l_extendedprice AS DECIMAL(12,2))"
@@ -271,7 +271,7 @@ FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)""")
 def t10_moving_split(t):
     """Running and moving values per event type, each type above the group limit."""
     events = t.events.select("event_id", "event_type", "ts", money("value").alias("value"))
-    done = (arrange(events, ["event_type"], ["ts", "event_id"], max_rows=300)
+    done = (arrange(events, ["event_type"], ["ts", "event_id"], max_rows=small_limit(t.events))
             .running({"running_total": ("sum", "value")})
             .windowed({"moving_sum": lambda w: F.sum("value").over(w.rowsBetween(-4, 2)),
                        "third_before": lambda w: F.lag("event_id", 3).over(w)}, 4, 2).rows())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -12,3 +12,8 @@ def number(col: str | Column, places: int, name: str | None = None) -> Column:
     alias = name or (col if isinstance(col, str) else None)
     rounded = value.cast(f"decimal(18,{places})").cast("double")
     return rounded.alias(alias) if alias else rounded
+
+
+def small_limit(df: DataFrame) -> int:
+    """A group limit of a fortieth of the table, so that a few large groups are split."""
+    return max(1, df.count() // 40)
