@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewarden.llm import decontamination
+from tablewarden.llm import bpe, chat, decontamination, near_dedup, quality, toxicity, warc
+from tablewarden.llm.training import held_out, training_rows
 from tablewarden.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +57,67 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("doc_id", "n_words", "n_hit", "n_items",
                          F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
                          "contaminated")
+
+
+@query()
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write_archives(read_table(spark, sf_dir, "pages"))
+    records = warc.read_archives(archives, payloads=False)
+    intact = F.when(F.col("intact"), F.col("payload_digest")).otherwise(
+        F.raise_error(F.concat(F.lit("damaged record "), "record_id")))
+    return records.select(warc.page_of("record_id").alias("page_id"), "payload_bytes",
+                          intact.alias("payload_digest"), "record_type",
+                          warc.page_of("refers_to").alias("refers_to"))
+
+
+@query()
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return near_dedup.near_duplicates(docs).select("doc_id", "class_id")
+
+
+@query()
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    model = quality.fit(training_rows(docs, labels, "quality"))
+    scored = quality.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+OP5_SQL = """
+WITH t AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS place,
+                  count(*) OVER (PARTITION BY conv_id) AS size FROM conversations),
+p AS (SELECT conv_id, place, size, string_agg(sha256(role || chr(0) || text), '') OVER (
+             PARTITION BY conv_id ORDER BY place) AS prefix FROM t),
+w AS (SELECT place, prefix, min(conv_id) AS conv_id FROM p WHERE place = size GROUP BY place, prefix),
+kept AS (SELECT conv_id FROM w WHERE NOT EXISTS (
+             SELECT 1 FROM p WHERE p.place < p.size AND p.place = w.place AND p.prefix = w.prefix))
+SELECT conv_id, count(*) AS n_turns,
+       string_agg('<|' || role || '|>' || chr(10) || text || chr(10) || '<|end|>' || chr(10), '' ORDER BY place) AS chat
+FROM t WHERE conv_id IN (SELECT conv_id FROM kept) GROUP BY conv_id
+"""
+
+
+@query(OP5_SQL)
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(read_table(spark, sf_dir, "conversations"))
+
+
+@query()
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    tokens = bpe.encode(docs, ranks, pattern).select("doc_id", "ids", "n_tokens")
+    return bpe.decode(tokens, ranks, pattern).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query()
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    lexicon = toxicity.fit(training_rows(docs, labels, "toxic"))
+    scored = toxicity.score(docs.select("doc_id", "text"), lexicon)
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
