@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewarden.llm import bpe, chat, decontamination, near_dedup, quality, toxicity, warc
+from tablewarden.llm import (
+    bpe, chat, decontamination, fingerprints, licenses, near_dedup, quality, secrets, toxicity, warc)
+from tablewarden.llm.common import let
 from tablewarden.llm.training import held_out, training_rows
 from tablewarden.sources.tables import read_table
 
@@ -121,3 +123,100 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score(docs.select("doc_id", "text"), lexicon)
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+OP7_TREE = r"""
+WITH o AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+n AS (SELECT doc_id, text, coalesce(lead(text) OVER (ORDER BY doc_id), first_value(text) OVER (ORDER BY doc_id)) AS nt FROM o),
+e AS (SELECT doc_id, text, nt, substr(text, 1, length(text) - length(text) // 4) || substr(nt, 1, length(text) // 4) AS ed FROM n),
+v AS (SELECT doc_id, 0 AS k, text AS t FROM e UNION ALL SELECT doc_id, 1, ed FROM e UNION ALL SELECT doc_id, 2, nt FROM e),
+trees AS (SELECT doc_id, k, list_transform(regexp_split_to_array(t, '\n[ \t]*\n'), lambda s: list_transform(string_split(s, chr(10)),
+            lambda p: list_transform(range(0, (len(string_split(p, ' ')) - 1) // 16 + 1),
+                lambda i: sha256(array_to_string(string_split(p, ' ')[16 * i + 1 : 16 * i + 16], ' '))))) AS b FROM v),
+h AS (SELECT doc_id, k, b, list_transform(b, lambda s: list_transform(s, lambda p: sha256(array_to_string(p, '')))) AS ph FROM trees),
+g AS (SELECT doc_id, k, b, ph, list_transform(ph, lambda s: sha256(array_to_string(s, ''))) AS sh FROM h),
+f AS (SELECT doc_id, k, sha256(array_to_string(sh, '')) AS root,
+        list_distinct(list_transform(flatten(flatten(b)), lambda x: x[1:8])) AS leaves,
+        array_to_string(list_transform(range(1, len(sh) + 1), lambda i: sh[i][1:16] || '=' ||
+          array_to_string(list_transform(range(1, len(ph[i]) + 1), lambda j: ph[i][j][1:8] || '.' ||
+            array_to_string(list_transform(b[i][j], lambda x: x[1:8]), '')), ',')), ';') AS rest FROM g)
+"""
+
+OP7_SQL = OP7_TREE + """
+SELECT e.doc_id, length(e.text) AS n_chars, sha256(e.ed) AS edited_sha256, a.root || ':' || a.rest AS fingerprint,
+       c.root || ':' || c.rest AS edited_fingerprint,
+       CASE WHEN a.root = c.root THEN 1.0::DOUBLE ELSE
+         2.0::DOUBLE * len(list_intersect(a.leaves, c.leaves)) / (len(a.leaves) + len(c.leaves)) END AS near_edited,
+       CASE WHEN a.root = x.root THEN 1.0::DOUBLE ELSE
+         2.0::DOUBLE * len(list_intersect(a.leaves, x.leaves)) / (len(a.leaves) + len(x.leaves)) END AS near_next
+FROM e JOIN f a ON a.doc_id = e.doc_id AND a.k = 0 JOIN f c ON c.doc_id = e.doc_id AND c.k = 1
+JOIN f x ON x.doc_id = e.doc_id AND x.k = 2
+"""
+
+
+@query(OP7_SQL)
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = fingerprints.with_next(read_table(spark, sf_dir, "documents"))
+    size = F.length("text")
+    cut = F.floor(size / 4).cast("int")
+    edited = F.concat(F.substr("text", F.lit(1), size - cut), F.substr("next_text", F.lit(1), cut))
+
+    def facts(t: Column) -> Column:
+        own, changed, following = t["own"], t["changed"], t["following"]
+        return F.struct(fingerprints.fingerprint(own).alias("fingerprint"),
+                        fingerprints.fingerprint(changed).alias("edited_fingerprint"),
+                        fingerprints.likeness(own, changed).alias("near_edited"),
+                        fingerprints.likeness(own, following).alias("near_next"))
+    made = docs.select("doc_id", size.cast("bigint").alias("n_chars"), edited.alias("edited"), "text", "next_text")
+    trees = F.struct(fingerprints.tree("text").alias("own"), fingerprints.tree("edited").alias("changed"),
+                     fingerprints.tree("next_text").alias("following"))
+    made = made.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+                       let(trees, facts).alias("facts"))
+    return made.select("doc_id", "n_chars", "edited_sha256", "facts.*")
+
+
+@query()
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+            ":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    base = F.filter("secrets", lambda s: s["kind"] != "random")
+    return found.select("doc_id", count("assign"), count("access"), count("hex"),
+                        F.sha2(joined(base), 256).alias("base_sha256"),
+                        joined(F.col("secrets")).alias("spans"))
+
+
+def _op10_sql() -> str:
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+    known = ", ".join(f"({quoted(k)}, {quoted(v)})" for k, v in licenses.KNOWN.items())
+    steps = []
+    for i, (name, ids) in enumerate(licenses.RULES):
+        piece = quoted(" " + "  ".join(ids) + " ")
+        steps.append(f"r{i + 1} AS (SELECT doc_id, n, replace(rest, {piece}, ' | ') AS rest, CASE WHEN contains(rest, {piece}) "
+                     f"THEN list_append(found, {quoted(name)}) ELSE found END AS found FROM r{i})")
+    return rf"""
+WITH s AS (SELECT doc_id, unnest(list_transform(range(1, len(p) + 1), lambda i: {{'place': i, 's': p[i]}})) AS x
+           FROM (SELECT doc_id, regexp_split_to_array(regexp_replace(text, '([.!?:])[ \t\r\n\f]+', '\1' || chr(10), 'g'), '[\r\n]+') AS p FROM documents)),
+known(plain, name) AS (VALUES {known}),
+found AS (SELECT doc_id, x.place AS place, name FROM s JOIN known
+          ON trim(regexp_replace(lower(x.s), '[^a-z0-9]+', ' ', 'g')) = plain),
+r0 AS (SELECT doc_id, count(*) AS n, '  ' || string_agg(name, '  ' ORDER BY place) || '  ' AS rest,
+              CAST([] AS VARCHAR[]) AS found FROM found GROUP BY doc_id),
+{", ".join(steps)}
+SELECT d.doc_id, coalesce(array_to_string(list_sort(list_distinct(found)), ','), '') AS licenses,
+       coalesce(n, 0) AS n_sentences
+FROM documents d LEFT JOIN r{len(licenses.RULES)} r ON d.doc_id = r.doc_id
+"""
+
+
+@query(_op10_sql())
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.recognise(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.array_join("licenses", ",").alias("licenses"),
+                        F.size("license_sentences").cast("bigint").alias("n_sentences"))
