@@ -2,14 +2,62 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tablewarden.llm import bpe, decontamination, near_dedup, secrets
+from tablewarden.llm import toxicity as toxic
+from tablewarden.llm.training import training_rows
 from tablewarden.sources.tables import read_table
 from tablewarden.storage import materialize
 
-STAGES = []
+TOXIC = 0.5
 
-# Training, sketches and byte-level merges have no SQL form; the stages are tested one by one.
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted on the labelled ones among them, finds toxic go."""
+    lexicon = toxic.fit(training_rows(docs, read_table(spark, sf_dir, "labels"), "toxic"))
+    scored = toxic.score(docs, lexicon)
+    return scored.where(F.col("score") < TOXIC).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class stays."""
+    return near_dedup.deduplicate(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with words of a benchmark window go."""
+    return decontamination.uncontaminated(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by their kind in brackets; ``n_chars`` follows the text."""
+    found = secrets.scan(docs)
+    text = secrets.redact(F.col("text"), F.col("secrets"))
+    made = {"text": text, "n_chars": F.when(F.size("secrets") > 0, F.length(text).cast("bigint"))
+            .otherwise(F.col("n_chars"))}
+    return found.select(*[made[c].alias(c) if c in made else F.col(c) for c in docs.columns])
+
+
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids are added, with whether decoding them gives the text back."""
+    ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    decoded = bpe.decode(bpe.encode(docs, ranks, pattern), ranks, pattern)
+    whole = F.col("decoded") == F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    return decoded.withColumn("round_trip", whole).drop("decoded")
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("near_duplicates", near_duplicates),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("secret_scan", secret_scan),
+    ("byte_bpe", byte_bpe),
+]
+
+# Fitting, sketches and merges have no SQL form; the tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
