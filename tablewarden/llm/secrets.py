@@ -92,7 +92,7 @@ def _normal_tail(z: Column) -> Column:
     return poly * F.exp(-x * x)
 
 
-def tested(tokens: DataFrame) -> DataFrame:
+def randomness_tests(tokens: DataFrame) -> DataFrame:
     """Add ``_alphabet``, ``_band`` (of the length) and ``_p`` to distinct tokens (``_token``).
 
     A token in no alphabet is left out. The p-value is three times the smallest of the tests'.
@@ -168,7 +168,7 @@ def scan(docs: DataFrame, text: str = "text", rate: float = FALSE_REJECTIONS) ->
     found = materialize(base.where(F.col("_key").isNotNull()).select("_key", spans)
                         .select("_key", "_s.*").distinct(), "secret_spans")
     tokens = found.where(F.col("kind") == 3).select(F.col("token").alias("_token")).distinct()
-    tests = materialize(tested(tokens), "secret_tests")
+    tests = materialize(randomness_tests(tokens), "secret_tests")
     random = materialize(random_tokens(tests, rate), "random_tokens")
     added = found.join(broadcast_if_small(random), F.col("token") == F.col("_token"), "left_semi") \
         .where(F.col("kind") == 3)
