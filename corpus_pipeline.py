@@ -35,10 +35,12 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by their kind in brackets; ``n_chars`` follows the text."""
     found = secrets.scan(docs)
-    text = secrets.redact(F.col("text"), F.col("secrets"))
-    made = {"text": text, "n_chars": F.when(F.size("secrets") > 0, F.length(text).cast("bigint"))
-            .otherwise(F.col("n_chars"))}
-    return found.select(*[made[c].alias(c) if c in made else F.col(c) for c in docs.columns])
+    masked = found.withColumn("text", secrets.redact(F.col("text"), F.col("secrets")))
+    if "n_chars" in docs.columns:
+        size = F.length("text").cast(docs.schema["n_chars"].dataType)
+        masked = masked.withColumn("n_chars", F.when(F.size("secrets") > 0, size)
+                                   .otherwise(F.col("n_chars")))
+    return masked.select(*docs.columns)
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
