@@ -18,11 +18,25 @@ from tablewarden.streaming import live, state
 EVENTS = SCHEMAS["events"]
 
 
-@query("\nUNION ALL ".join(f"SELECT '{name}' AS table_name, count(*) AS rows FROM {name}"
-                           for name in SCHEMAS))
+_COLUMNS = {name: [part.split()[0] for part in schema.split(", ")] for name, schema in SCHEMAS.items()}
+
+
+@query("\nUNION ALL ".join(
+    f"SELECT '{name}' AS table_name, '{c}' AS column_name, count(*) AS rows, count({c}) AS present, "
+    + (f"CAST(max(len({c})) AS VARCHAR)" if c == "embedding" else f"CAST(max({c}) AS VARCHAR)")
+    + f" AS highest FROM {name}" for name, columns in _COLUMNS.items() for c in columns))
 def s1_read_table(t):
-    parts = [getattr(t, name).groupBy().agg(F.count(F.lit(1)).alias("rows"))
-             .select(F.lit(name).alias("table_name"), "rows") for name in SCHEMAS]
+    """Every column of every table is decoded: its values are counted and the highest one taken."""
+    parts = []
+    for name, columns in _COLUMNS.items():
+        df = getattr(t, name)
+        highest = {c: F.size(c) if c == "embedding" else F.col(c) for c in columns}
+        one = df.agg(F.count(F.lit(1)).alias("rows"), *[
+            F.struct(F.count(c).alias("present"), F.max(v).cast("string").alias("highest")).alias(c)
+            for c, v in highest.items()])
+        entries = F.array(*[F.struct(F.lit(c).alias("column_name"), f"{c}.present", f"{c}.highest")
+                            for c in columns])
+        parts.append(one.select(F.lit(name).alias("table_name"), "rows", F.inline(entries)))
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)
@@ -89,33 +103,70 @@ def s6_sink_batches(t):
         F.sum(F.col("value").cast("decimal(12,2)")).cast("double").alias("total"))
 
 
-def _log_stream(t: Tables):
+def _arrivals(t: Tables, rows, load, number: int):
+    """The folder where rows arrive, again after each of ``number`` loads has been added to it.
+
+    The rows are written once, by load; each load is then copied when its turn comes.
+    """
+    path = new_path(t.spark, "arrivals")
+    rows.withColumn("_load", load).write.partitionBy("_load").parquet(f"{path}/staged")
+    staged = t.spark.read.schema(rows.withColumn("_load", F.lit(0)).schema).parquet(f"{path}/staged")
+    for i in range(number):
+        staged.where(F.col("_load") == i).drop("_load").write.mode("append").parquet(f"{path}/arrived")
+        yield f"{path}/arrived"
+
+
+def _part(t: Tables, number: int, newest_first: bool = False):
+    """Events cut into parts of about equal size, by event_id."""
+    last = t.events.agg(F.max("event_id").alias("m")).scalar()
+    place = last - F.col("event_id") if newest_first else F.col("event_id")
+    return F.floor(place * number / (last + 1)).cast("int")
+
+
+def _log(t: Tables, sdf):
     text = VIEWS["query_log"][1].replace("{base}", "{base_table}")
-    return event_time(t.spark.sql(text, base_table=_event_stream(t)), "started_at")
+    return event_time(t.spark.sql(text, base_table=sdf), "started_at")
 
 
-# A bucket is given out once the watermark (newest time less an hour) has passed its end.
-_CLOSED = "bucket_start + INTERVAL 1 HOUR <= (SELECT max(started_at) FROM query_log) - INTERVAL 1 HOUR"
+def _closing(t: Tables):
+    """One event so much later than all others that every window before it closes."""
+    last = t.events.agg(F.max("ts").alias("m")).scalar()
+    return t.spark.range(1).select(
+        F.lit(-1).cast("bigint").alias("event_id"), (last + F.expr("INTERVAL '30' DAY")).alias("ts"),
+        F.lit(-1).cast("bigint").alias("user_id"), F.lit("end").alias("event_type"),
+        F.lit(0.0).alias("value"), F.lit('{"k": 0}').alias("props"))
 
 
-@query(f"""SELECT * FROM ({_throughput_sql("time_bucket(INTERVAL '1 hour', started_at)", "query_log",
-                                           "query_class,")}) WHERE {_CLOSED}""", LOG)
+def _closed(t: Tables, make, schema: str):
+    """What a stream over the query log gives out in two loads and a closing event."""
+    path = new_path(t.spark, "stream")
+    rows = t.events.unionByName(_closing(t))
+    for folder in _arrivals(t, rows, F.when(F.col("event_id") < 0, 2).otherwise(_part(t, 2)), 3):
+        sdf = make(_log(t, stream_table(t.spark, folder, "*.parquet", EVENTS)))
+        sink_batches(sdf, f"{path}/table", f"{path}/checkpoint")
+    return read_batches(t.spark, f"{path}/table", schema).drop("batch_id")
+
+
+def _plain_time(df, *columns: str):
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
+
+
+@query(_throughput_sql("time_bucket(INTERVAL '1 hour', started_at)", "query_log", "query_class,"), LOG)
 def x1_stream_throughput(t):
-    metrics = live.stream_throughput(_log_stream(t), "1 hour", by=["query_class"])
-    stored = _stored(t, metrics.withColumn("bucket_start", F.col("bucket_start").cast("timestamp_ntz")),
-                     "bucket_start timestamp_ntz, query_class string, queries bigint, "
-                     "failures bigint, error_rate double, busy_ms decimal(28,4)")
+    stored = _closed(t, lambda log: _plain_time(
+        live.stream_throughput(log, "1 hour", by=["query_class"]), "bucket_start"),
+        "bucket_start timestamp_ntz, query_class string, queries bigint, "
+        "failures bigint, error_rate double, busy_ms decimal(28,4)")
     return _metrics(stored, "query_class")
 
 
-@query("SELECT * FROM (" + _throughput_sql(
-    "time_bucket(INTERVAL '15 minutes', started_at) - i * INTERVAL '15 minutes'",
-    "query_log, range(4) r(i)") + f") WHERE {_CLOSED}", LOG)
+@query(_throughput_sql("time_bucket(INTERVAL '15 minutes', started_at) - i * INTERVAL '15 minutes'",
+                       "query_log, range(4) r(i)"), LOG)
 def x1_stream_throughput_sliding(t):
-    metrics = live.stream_throughput(_log_stream(t), "1 hour", "15 minutes")
-    stored = _stored(t, metrics.withColumn("bucket_start", F.col("bucket_start").cast("timestamp_ntz")),
-                     "bucket_start timestamp_ntz, queries bigint, failures bigint, "
-                     "error_rate double, busy_ms decimal(28,4)")
+    stored = _closed(t, lambda log: _plain_time(
+        live.stream_throughput(log, "1 hour", "15 minutes"), "bucket_start"),
+        "bucket_start timestamp_ntz, queries bigint, failures bigint, error_rate double, "
+        "busy_ms decimal(28,4)")
     return _metrics(stored)
 
 
@@ -124,25 +175,28 @@ def x1_stream_throughput_sliding(t):
 n AS (SELECT *, sum(CASE WHEN b IS NULL OR started_at >= b + INTERVAL 4 HOUR THEN 1 ELSE 0 END)
   OVER (PARTITION BY session_id ORDER BY started_at, query_id) AS s FROM p)
 SELECT session_id, min(started_at) AS first_at, max(started_at) AS last_at, count(*) AS queries
-FROM n GROUP BY session_id, s
-HAVING max(started_at) + INTERVAL 4 HOUR <= (SELECT max(started_at) FROM query_log) - INTERVAL 1 HOUR""",
-       LOG)
+FROM n GROUP BY session_id, s""", LOG)
 def x2_stream_sessions(t):
-    found = live.stream_sessions(_log_stream(t), "4 hours")
-    plain = found.select("session_id", F.col("first_at").cast("timestamp_ntz").alias("first_at"),
-                         F.col("last_at").cast("timestamp_ntz").alias("last_at"), "queries")
-    return _stored(t, plain, "session_id bigint, first_at timestamp_ntz, last_at timestamp_ntz, "
-                             "queries bigint")
+    return _closed(t, lambda log: _plain_time(
+        live.stream_sessions(log, "4 hours"), "first_at", "last_at").select(
+        "session_id", "first_at", "last_at", "queries"),
+        "session_id bigint, first_at timestamp_ntz, last_at timestamp_ntz, queries bigint")
 
 
 @query("SELECT event_id, user_id, event_type, value FROM events")
 def x3_stream_dedupe(t):
-    """Every event arrives twice and is stored once."""
-    twice = event_time(_event_stream(t), "ts").withColumn(
-        "copy", F.explode(F.array(F.lit(0), F.lit(1))))
-    once = live.stream_dedupe(twice, ["event_id"])
-    return _stored(t, once.select("event_id", "user_id", "event_type", "value"),
-                   "event_id bigint, user_id bigint, event_type string, value double")
+    """Every event arrives twice, in one load and again in the next, and is stored once."""
+    path = new_path(t.spark, "stream")
+    twice = t.events.withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1)))) \
+        .withColumn("_at", _part(t, 2) + F.col("_copy"))
+    columns = EVENTS + ", _copy int, _at int"
+    for folder in _arrivals(t, twice, F.col("_at"), 3):
+        arrivals = event_time(stream_table(t.spark, folder, "*.parquet", columns), "ts")
+        once = live.stream_dedupe(arrivals, ["event_id"])
+        sink_batches(once.select("event_id", "user_id", "event_type", "value"),
+                     f"{path}/table", f"{path}/checkpoint")
+    return read_batches(t.spark, f"{path}/table", "event_id bigint, user_id bigint, event_type string, "
+                                                  "value double").drop("batch_id")
 
 
 ARRIVALS = 6
@@ -158,11 +212,10 @@ def x4_stream_late(t):
     """Events in arrival order, one load per batch: on time, or set aside as late."""
     path = new_path(t.spark, "late")
     last = t.late_events.agg(F.max("arrival_seq").alias("m")).scalar()
-    chunk = F.floor(F.col("arrival_seq") * ARRIVALS / (last + 1)).cast("int")
+    load = F.floor(F.col("arrival_seq") * ARRIVALS / (last + 1)).cast("int")
     columns = EVENTS + ", arrival_seq bigint"
-    for i in range(ARRIVALS):
-        t.late_events.where(chunk == i).write.mode("append").parquet(f"{path}/arrivals")
-        arrivals = stream_table(t.spark, f"{path}/arrivals", "*.parquet", columns)
+    for folder in _arrivals(t, t.late_events, load, ARRIVALS):
+        arrivals = stream_table(t.spark, folder, "*.parquet", columns)
         state.stream_late(arrivals, path, f"{path}/checkpoint", 3600)
     return read_batches(t.spark, f"{path}/rows", columns + ", late boolean").select(
         "event_id", "user_id", "late")
@@ -171,16 +224,22 @@ def x4_stream_late(t):
 @query("""SELECT event_id, user_id, c_name, c_mktsegment
 FROM events LEFT JOIN customer ON user_id = c_custkey""")
 def x5_stream_enrich(t):
+    path = new_path(t.spark, "stream")
     names = t.customer.select(F.col("c_custkey").alias("user_id"), "c_name", "c_mktsegment")
-    joined = live.stream_enrich(_event_stream(t).select("event_id", "user_id"), names, ["user_id"])
-    return _stored(t, joined, "user_id bigint, event_id bigint, c_name string, c_mktsegment string")
+    for folder in _arrivals(t, t.events, _part(t, 2), 2):
+        arrivals = stream_table(t.spark, folder, "*.parquet", EVENTS).select("event_id", "user_id")
+        sink_batches(live.stream_enrich(arrivals, names, ["user_id"]), f"{path}/table", f"{path}/checkpoint")
+    return read_batches(t.spark, f"{path}/table", "user_id bigint, event_id bigint, c_name string, "
+                                                  "c_mktsegment string").drop("batch_id")
 
 
 @query("""SELECT user_id, event_id, event_type, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1""")
 def x6_stream_upsert(t):
-    """The newest event per user."""
+    """The newest event per user; the newest events arrive first, and bases are folded on the way."""
     path = new_path(t.spark, "upsert")
-    rows = _event_stream(t).select("user_id", "event_id", "event_type", "value")
-    state.stream_upsert(rows, path, ["user_id"], ["event_id"], f"{path}/checkpoint")
+    for folder in _arrivals(t, t.events, _part(t, 4, newest_first=True), 4):
+        rows = stream_table(t.spark, folder, "*.parquet", EVENTS).select(
+            "user_id", "event_id", "event_type", "value")
+        state.stream_upsert(rows, path, ["user_id"], ["event_id"], f"{path}/checkpoint", fold_every=2)
     return state.read_upserted(t.spark, path, ["user_id"], ["event_id"])

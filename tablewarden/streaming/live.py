@@ -11,7 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewarden.operators.lookup import lookup_join
 from tablewarden.operators.monitoring import throughput
 
 
@@ -25,11 +24,10 @@ def stream_sessions(sdf: DataFrame, gap: str, late: str = "1 hour", by: str = "s
                     ts: str = "started_at") -> DataFrame:
     """Runs of entries with no pause of ``gap`` or more, given out once they are closed.
 
-    Entries of a session are merged before the shuffle, so a very busy key sends sessions
-    and not entries to its task.
+    With ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition`` set, as in
+    ``session.SETTINGS``, entries are merged before the shuffle, so a very busy key sends
+    sessions and not entries to its task.
     """
-    sdf.sparkSession.conf.set(
-        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     return (sdf.withWatermark(ts, late).groupBy(by, F.session_window(ts, gap).alias("s"))
             .agg(F.count(F.lit(1)).alias("queries"), F.max(ts).alias("last_at"))
             .select(by, F.col("s.start").alias("first_at"), "last_at", "queries"))
@@ -42,5 +40,9 @@ def stream_dedupe(sdf: DataFrame, keys: Sequence[str], late: str = "1 hour", ts:
 
 
 def stream_enrich(sdf: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
-    """Look every entry up in a static table, read anew for each batch."""
-    return lookup_join(sdf, dim, on, how)
+    """Look every entry up in a static table, read anew for each batch.
+
+    The table is not marked for broadcast: it may grow while the stream runs, so Spark decides
+    in each batch from its size.
+    """
+    return sdf.join(dim, list(on), how)

@@ -79,6 +79,27 @@ def test_upsert_keeps_newest(spark, loads, fold_every):
     assert {r["user"]: (r["id"], r["v"]) for r in kept.collect()} == want
 
 
+@pytest.mark.parametrize("fold_every", [1, 2, 50])
+def test_upsert_keeps_newest_when_older_rows_come_later(spark, loads, fold_every):
+    path = new_path(spark, "upsert")
+    for load in ([(10, 1, 10, 1), (3, 2, 3, 1)], [(5, 1, 5, 2), (4, 2, 4, 2)], [(10, 1, 10, 3), (2, 2, 2, 3)],
+                 [(1, 1, 1, 4), (1, 3, 1, 4)]):
+        state.stream_upsert(loads(*load), path, ["user"], ["id"], f"{path}/checkpoint", fold_every)
+    kept = state.read_upserted(spark, path, ["user"], ["id"])
+    assert rows(kept, "user", "id", "v") == [(1, 10, 3), (2, 4, 2), (3, 1, 4)]
+
+
+def test_a_replayed_fold_keeps_the_base(spark, loads):
+    path = new_path(spark, "upsert")
+    for load in ([(1, 1, 1, 1)], [(2, 1, 2, 2)], [(3, 2, 3, 3)]):
+        state.stream_upsert(loads(*load), path, ["user"], ["id"], f"{path}/checkpoint", 1)
+    before = rows(state.read_upserted(spark, path, ["user"], ["id"]), "user", "id")
+    for version in (1, 2, 2):
+        sinks.publish(state._upserted(spark, path, ["user"], ["id"], version), f"{path}/base", version)
+    assert rows(state.read_upserted(spark, path, ["user"], ["id"]), "user", "id") == before == [(1, 2), (2, 3)]
+    assert sinks.current_version(spark, f"{path}/base", below=2) == 1
+
+
 def test_enrich(spark, loads):
     dim = spark.createDataFrame([(1, "a")], "user int, name string")
     path = new_path(spark, "sink")
