@@ -86,11 +86,19 @@ def differing_buckets(a: DataFrame, b: DataFrame, keys: Sequence[str], buckets:
         F.coalesce("right.rows", F.lit(0)).alias("right_rows"))
 
 
-def verify(a: DataFrame, b: DataFrame, keys: Sequence[str], buckets: int = 256) -> DataFrame:
+ROWS_PER_BUCKET = 100_000
+MAX_BUCKETS = 1_000_000
+
+
+def verify(a: DataFrame, b: DataFrame, keys: Sequence[str], buckets: int | None = None) -> DataFrame:
     """Rows that differ between two copies; only differing buckets are joined row by row.
 
-    The bad buckets are at most ``buckets`` rows, so they are broadcast.
+    Without ``buckets`` their number follows from the rows of ``a``, so that a bucket, which is
+    what one wrong row costs, holds about ``ROWS_PER_BUCKET`` rows at any size; there are between
+    256 and ``MAX_BUCKETS``. The bad buckets are one number each, so they are broadcast.
     """
+    if buckets is None:
+        buckets = max(256, min(MAX_BUCKETS, a.count() // ROWS_PER_BUCKET))
     bad = F.broadcast(differing_buckets(a, b, keys, buckets).select("bucket"))
 
     def suspect(df: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewarden.operators.ordered import MAX_GROUP_ROWS, windowed
+from tablewarden.operators.ordered import MAX_GROUP_ROWS, running, windowed
 
 BY = ["database_id"]
 ORDER = ["finished_at", "backup_id"]
@@ -22,31 +22,50 @@ def _ok(catalog: DataFrame) -> DataFrame:
     return catalog.where(F.col("status") == "OK")
 
 
-def restore_chain(catalog: DataFrame, at: str | Column) -> DataFrame:
+def mark_broken(catalog: DataFrame, max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+    """Add ``broken``: a successful increment that no restore can use.
+
+    A failed increment breaks the chain: the increments after it are broken until the next
+    successful full or differential run.
+    """
+    good = F.col("status") == "OK"
+    increment = F.col("kind") == "INCR"
+    place = F.struct("finished_at", "backup_id")
+    seen = running(catalog, BY, ORDER, {
+        "_base": ("last", F.when(good & ~increment, place)),
+        "_failed": ("last", F.when(~good & increment, place))}, max_rows)
+    cut = F.col("_failed").isNotNull() & (F.col("_base").isNull() | (F.col("_failed") > F.col("_base")))
+    return seen.withColumn("broken", good & increment & cut).drop("_base", "_failed")
+
+
+def restore_chain(catalog: DataFrame, at: str | Column, max_rows: int | None = MAX_GROUP_ROWS
+                  ) -> DataFrame:
     """Runs that rebuild each database at a time, with their step.
 
-    The newest full run, the newest differential after it, and the increments after that.
-    A database with no full run before the time has no chain.
+    The newest full run, the newest differential after it, and the increments after that
+    which are not broken. A database with no full run before the time has no chain.
     """
     moment = (F.lit(at) if isinstance(at, str) else at).cast("timestamp_ntz")
     place = F.struct("finished_at", "backup_id")
-    runs = _ok(catalog).where(F.col("finished_at") <= moment).withColumn("_place", place)
-    full = runs.where("kind = 'FULL'").groupBy(*BY).agg(F.max("_place").alias("_full"))
-    later = runs.join(full, BY).where(F.col("_place") >= F.col("_full"))
-    differential = (later.where("kind = 'DIFF'").groupBy(*BY)
-                    .agg(F.max("_place").alias("_diff")))
+    runs = mark_broken(catalog.where(F.col("finished_at") <= moment), max_rows)
+    runs = runs.where((F.col("status") == "OK") & ~F.col("broken")).withColumn("_place", place)
+    bases = runs.groupBy(*BY).agg(F.max(F.when(F.col("kind") == "FULL", F.col("_place"))).alias("_full"),
+                                  F.max(F.when(F.col("kind") == "DIFF", F.col("_place"))).alias("_diff"))
+    # A differential before the newest full run has no part in the chain.
+    bases = bases.withColumn("_diff", F.when(F.col("_diff") > F.col("_full"), F.col("_diff")))
     base = F.coalesce("_diff", "_full")
     step = (F.when(F.col("_place") == F.col("_full"), 1)
             .when(F.col("_place") == F.col("_diff"), 2)
             .when((F.col("kind") == "INCR") & (F.col("_place") > base), 3))
-    return (later.join(differential, BY, "left").withColumn("step", step)
-            .where(F.col("step").isNotNull()).drop("_place", "_full", "_diff"))
+    return (runs.join(bases.where(F.col("_full").isNotNull()), BY).withColumn("step", step)
+            .where(F.col("step").isNotNull()).drop("_place", "_full", "_diff", "broken"))
 
 
 def rpo_report(catalog: DataFrame, target_seconds: float,
                max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
-    """Gaps between successful runs that miss the recovery-point target."""
-    gaps = windowed(_ok(catalog), BY, ORDER,
+    """Gaps between usable runs that miss the recovery-point target; broken ones do not count."""
+    usable = mark_broken(catalog, max_rows).where((F.col("status") == "OK") & ~F.col("broken"))
+    gaps = windowed(usable, BY, ORDER,
                     {"previous_at": lambda w: F.lag("finished_at").over(w)}, 1, 0, max_rows)
     micros = F.timestamp_diff("MICROSECOND", F.col("previous_at"), F.col("finished_at"))
     return (gaps.withColumn("gap_seconds", micros / 1e6)
@@ -87,18 +106,16 @@ def backup_health(catalog: DataFrame, trend: int = 5,
                   max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """Per database: runs, success rate, broken increments, newest size against its trend.
 
-    An increment is broken when the run before it failed. The trend is the mean size of
-    the ``trend`` runs before the newest one.
+    Increments are broken as in ``mark_broken``. The trend is the mean size of the ``trend``
+    runs before the newest one.
     """
-    runs = windowed(catalog, BY, ORDER, {
-        "_previous": lambda w: F.lag("status").over(w),
+    runs = windowed(mark_broken(catalog, max_rows), BY, ORDER, {
         "_trend": lambda w: F.avg("size_mb").over(w.rowsBetween(-trend, -1)),
     }, trend, 0, max_rows)
-    broken = (F.col("kind") == "INCR") & (F.col("status") == "OK") & (F.col("_previous") == "FAILED")
     newest = F.max(F.struct("finished_at", "backup_id", "size_mb", "_trend"))
     return (runs.groupBy(*BY).agg(
         F.count(F.lit(1)).alias("runs"), F.count_if(F.col("status") == "OK").alias("ok_runs"),
-        F.count_if(broken).alias("broken_increments"), newest.alias("_newest"))
+        F.count_if("broken").alias("broken_increments"), newest.alias("_newest"))
         .select(*BY, "runs", "ok_runs", (F.col("ok_runs") / F.col("runs")).alias("success_rate"),
                 "broken_increments", F.col("_newest.size_mb").alias("newest_size"),
                 F.col("_newest._trend").alias("trend_size")))

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewarden.functions.columns import NULL_TOKENS, null_if_token, parse_any_date, tidy_text
-from tablewarden.operators.lookup import lookup_join
+from tablewarden.operators.lookup import broadcast_if_small, lookup_join
 from tablewarden.operators.ordered import (
     MAX_GROUP_ROWS, last_known, number_rows, sort_columns)
 from tablewarden.operators.quantiles import exact_quantiles
+from tablewarden.storage import materialize
 
 
 def _replace(df: DataFrame, new: Mapping[str, Column]) -> DataFrame:
@@ -44,7 +45,7 @@ def parse_date(df: DataFrame, col: str, formats: Sequence[str]) -> DataFrame:
 
 def map_codes(df: DataFrame, lookup: DataFrame, key: str, value: str, default: str) -> DataFrame:
     """Replace a code by its entry in ``lookup``, or by ``default`` when there is none."""
-    return lookup_join(df, lookup.select(key, value), [key]).fillna({value: default})
+    return lookup_join(df, lookup.select(key, value), [key], measure=True).fillna({value: default})
 
 
 def fill_const(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
@@ -56,7 +57,8 @@ def fill_group(df: DataFrame, col: str, by: Sequence[str], how: str = "mean",
     """Fill NULLs with the mean, median or mode of the group.
 
     The statistic comes from an aggregate that is joined back, so no task holds a group.
-    The mode is the most frequent value; the smallest of several.
+    The mode is the most frequent value; the smallest of several. Decimals stay decimals, with
+    the mean or median rounded to their scale; other numbers become doubles.
     """
     present = df.where(F.col(col).isNotNull())
     if how == "mean":
@@ -70,14 +72,20 @@ def fill_group(df: DataFrame, col: str, by: Sequence[str], how: str = "mean",
             F.min_by(col, F.struct(-F.col("_n"), F.col(col))).alias("_fill"))
     else:
         raise ValueError(how)
-    kind = df.schema[col].dataType if how == "mode" else "double"
+    own = df.schema[col].dataType
+    kind = own if how == "mode" or isinstance(own, T.DecimalType) else "double"
     filled = F.coalesce(F.col(col).cast(kind), F.col("_fill").cast(kind))
     return (_replace(join_group_stats(df, stats, by).withColumn("_filled", filled),
                      {col: F.col("_filled")}).select(*df.columns))
 
 
 def join_group_stats(df: DataFrame, stats: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Bring one row per group back to its members; NULL groups match too."""
+    """Bring one row per group back to its members; NULL groups match too.
+
+    The statistics are stored, so that measuring them for a broadcast does not compute them
+    twice; the table itself is shuffled only when they are large.
+    """
+    stats = broadcast_if_small(materialize(stats, "group_stats"))
     named = stats.select(*[F.col(b).alias(f"_g_{b}") for b in by],
                          *[c for c in stats.columns if c not in by])
     on = [F.col(b).eqNullSafe(F.col(f"_g_{b}")) for b in by]

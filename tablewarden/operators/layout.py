@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablewarden.operators.lookup import table_bytes
+
 # name of a partial -> how partials of it are put together again
 _MERGE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
 
@@ -49,13 +51,21 @@ def layout_summary(report: DataFrame, small_bytes: int = 32 * 1024 * 1024) -> Da
         (F.max("rows") / F.avg("rows")).alias("largest_to_mean"))
 
 
-def compact(df: DataFrame, path: str, n: int, keys: Sequence[str],
-            spread: Sequence[str] = ()) -> DataFrame:
-    """Rewrite as about ``n`` files sorted within key ranges, and read the result.
+FILE_BYTES = 128 * 1024 * 1024
+
+
+def compact(df: DataFrame, path: str, keys: Sequence[str], spread: Sequence[str] = (),
+            n: int | None = None, file_bytes: int = FILE_BYTES) -> DataFrame:
+    """Rewrite as files sorted within key ranges, and read the result.
+
+    Without ``n`` the number of files follows from the bytes of the rows, which one aggregate
+    measures, so that a file holds about ``file_bytes`` of them at any size.
 
     Ranges follow ``keys`` and then ``spread``, so that a heavy key is cut into several
     files when the ``spread`` columns tell its rows apart.
     """
+    if n is None:
+        n = max(1, -(-table_bytes(df) // file_bytes))
     ranges = [*keys, *spread]
     (df.repartitionByRange(n, *ranges).sortWithinPartitions(*ranges)
      .write.parquet(path))

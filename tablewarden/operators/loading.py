@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tablewarden.operators.quality import Rules, failed_rules
+from tablewarden.storage import materialize
 
 
 def load_new(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -41,9 +42,10 @@ def apply_changes(target: DataFrame, feed: DataFrame, keys: Sequence[str], seq:
     ``seq`` orders the changes of a key and is unique within it. Target rows without a
     change pass through.
     """
-    live = latest_changes(feed, keys, seq).where(F.col(op) != "D").select(*target.columns)
-    touched = feed.select(*keys).distinct()
-    return target.join(touched, list(keys), "left_anti").unionByName(live)
+    # Stored, because it says both which rows go and which come.
+    newest = materialize(latest_changes(feed, keys, seq), "newest_changes")
+    live = newest.where(F.col(op) != "D").select(*target.columns)
+    return target.join(newest.select(*keys), list(keys), "left_anti").unionByName(live)
 
 
 def _at(at: str | Column) -> Column:
@@ -84,11 +86,34 @@ def history(target: DataFrame, batch: DataFrame, keys: Sequence[str], at: str |
 
 
 def history_of(versions: Sequence[tuple[DataFrame, str]], keys: Sequence[str]) -> DataFrame:
-    """History from full states with the times they became valid, oldest first."""
-    result = open_history(*versions[0])
-    for state, at in versions[1:]:
-        result = history(result, state, keys, at)
-    return result
+    """History from full states with the times they became valid, oldest first.
+
+    One pass: the states are stacked with their number and each row is compared with its
+    neighbours, so a key takes one small group of at most one row per state. Every state is
+    read once and shuffled once, however many there are.
+    """
+    keys = list(keys)
+    attributes = [c for c in versions[0][0].columns if c not in keys]
+    last = len(versions) - 1
+    stacked = None
+    for i, (state, _) in enumerate(versions):
+        part = state.select(*keys, F.struct(*attributes).alias("_row"), F.lit(i).alias("_state"))
+        stacked = part if stacked is None else stacked.unionByName(part)
+    times = F.array(*[_at(at) for _, at in versions])
+    order = Window.partitionBy(*keys).orderBy("_state")
+
+    def follows(row: Column, state: Column, earlier_row: Column, earlier_state: Column) -> Column:
+        return F.coalesce((state == earlier_state + 1) & row.eqNullSafe(earlier_row), F.lit(False))
+    row, state = F.col("_row"), F.col("_state")
+    begins = ~follows(row, state, F.lag("_row").over(order), F.lag("_state").over(order))
+    ends = ~follows(F.lead("_row").over(order), F.lead("_state").over(order), row, state)
+    until = F.when(state < last, F.get(times, state + 1))
+    marked = stacked.select(*keys, "_row", "_state", begins.alias("_begins"),
+                            F.when(ends, F.struct(until.alias("at"))).alias("_end"))
+    stop = F.first("_end", ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
+    return (marked.withColumn("_stop", stop).where("_begins")
+            .select(*keys, "_row.*", F.get(times, state).alias("valid_from"),
+                    F.col("_stop.at").alias("valid_to")))
 
 
 def as_of(history_table: DataFrame, at: str | Column) -> DataFrame:

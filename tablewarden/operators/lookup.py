@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewarden.storage import materialize
+
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
@@ -38,13 +40,23 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> D
 
 
 def lookup_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "left",
-                max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    return big.join(broadcast_if_small(small, max_bytes), list(on), how)
+                measure: bool = False, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Join with a smaller table.
+
+    ``measure`` is for a small side that is read from files: it costs one aggregate over them
+    and allows a broadcast. Measuring a derived side would compute it twice, so that one is
+    left to Spark, which decides from the file sizes or from the shuffled size.
+    """
+    return big.join(broadcast_if_small(small, max_bytes) if measure else small, list(on), how)
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], salts: int = 16,
-                how: str = "inner", hot_rows: int = 1_000_000) -> DataFrame:
-    """Equi-join that spreads the keys with more than ``hot_rows`` rows over ``salts`` tasks.
+                how: str = "inner", hot_share: float = 0.001, hot_rows: int | None = None
+                ) -> DataFrame:
+    """Equi-join that spreads hot keys over ``salts`` tasks.
+
+    A key is hot with more than ``hot_share`` of the rows, which bounds the broadcast list of
+    hot keys at any size; ``hot_rows`` sets a number of rows instead.
 
     Only rows of hot keys are salted in ``big`` and repeated in ``small``. The salt is a
     hash of the whole row plus its input partition, so a retried task repeats it and equal
@@ -53,13 +65,20 @@ def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], salts: int
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salting repeats the right side, so {how} is not possible")
     on = list(on)
-    # At most (rows of big / hot_rows) keys.
-    hot = (big.groupBy(*on).count().where(F.col("count") > hot_rows)
-           .select(*on, F.lit(True).alias("_hot")))
+    keyed = F.lit(True)
+    for c in on:
+        keyed = keyed & F.col(c).isNotNull()
+    counts = big.where(keyed).groupBy(*on).count()
+    least = F.lit(hot_rows) if hot_rows is not None else (
+        F.greatest(F.lit(1), counts.agg(F.sum("count")).scalar() * hot_share))
+    # At most (rows of big / hot_rows) keys, or (1 / hot_share) keys.
+    hot = materialize(counts.where(F.col("count") > least)
+                      .select(*on, F.lit(True).alias("_hot")), "hot_keys")
     row = F.pmod(F.xxhash64(*big.columns), F.lit(salts))
     spread = F.pmod(row + F.spark_partition_id(), F.lit(salts)).cast("int")
+    # A row with a NULL key matches nothing, so it may go to any task.
     left = (big.withColumn("_spread", spread).join(F.broadcast(hot), on, "left")
-            .withColumn("_salt", F.when(F.col("_hot"), F.col("_spread")).otherwise(0))
+            .withColumn("_salt", F.when(F.col("_hot") | ~keyed, F.col("_spread")).otherwise(0))
             .drop("_spread", "_hot"))
     right = (small.join(F.broadcast(hot), on, "left")
              .withColumn("_salt", F.explode(F.sequence(

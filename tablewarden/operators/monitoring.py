@@ -30,22 +30,37 @@ def seconds_between(start: Column, end: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", start, end) / 1e6
 
 
-def profile(df: DataFrame, exact: bool = False) -> DataFrame:
+def profile(df: DataFrame, exact: bool | Sequence[str] = False) -> DataFrame:
     """One row per column: rows, NULLs, distinct values, minimum and maximum as text.
 
-    One pass. Distinct counts are sketches unless ``exact``, which costs a shuffle of the
-    distinct values of every column.
+    One pass, with distinct counts from sketches. Columns named in ``exact`` (or all of them) are
+    counted exactly, each by a scan of that column alone. Arrays, maps and structs are told
+    apart by a hash of their JSON form, and their minimum and maximum are of the size (fields
+    of a struct).
     """
-    plain = [f.name for f in df.schema if isinstance(f.dataType, T.AtomicType)]
+    counted = set(df.columns if exact is True else exact or ())
     aggregates = [F.count(F.lit(1)).alias("rows")]
-    for i, c in enumerate(plain):
-        distinct = F.count_distinct(c) if exact else F.approx_count_distinct(c)
-        aggregates += [F.count_if(F.col(c).isNull()).alias(f"nulls{i}"), distinct.alias(f"values{i}"),
-                       F.min(c).cast("string").alias(f"min{i}"), F.max(c).cast("string").alias(f"max{i}")]
+    distinct = []
+    for i, field in enumerate(df.schema):
+        value = measured = F.col(field.name)
+        if isinstance(field.dataType, (T.ArrayType, T.MapType)):
+            value, measured = F.xxhash64(F.to_json(value)), F.size(value)
+        elif isinstance(field.dataType, T.StructType):
+            value, measured = F.xxhash64(F.to_json(value)), F.lit(len(field.dataType))
+        present = F.col(field.name).isNotNull()
+        value, measured = F.when(present, value), F.when(present, measured)
+        aggregates += [F.count_if(~present).alias(f"nulls{i}"),
+                       F.min(measured).cast("string").alias(f"min{i}"),
+                       F.max(measured).cast("string").alias(f"max{i}")]
+        if field.name in counted:
+            distinct.append(df.select(value.alias("v")).agg(F.count_distinct("v").alias("n")).scalar())
+        else:
+            aggregates.append(F.approx_count_distinct(value).alias(f"values{i}"))
+            distinct.append(F.col(f"values{i}"))
     entries = F.array(*[F.struct(
         F.lit(c).alias("column_name"), F.col(f"nulls{i}").alias("nulls"),
-        F.col(f"values{i}").alias("distinct_values"), F.col(f"min{i}").alias("min_value"),
-        F.col(f"max{i}").alias("max_value")) for i, c in enumerate(plain)])
+        distinct[i].alias("distinct_values"), F.col(f"min{i}").alias("min_value"),
+        F.col(f"max{i}").alias("max_value")) for i, c in enumerate(df.columns)])
     return df.agg(*aggregates).select("rows", F.inline(entries))
 
 

@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewarden.operators.lookup import lookup_join
 
 Rules = Mapping[str, str]
 
@@ -42,7 +41,7 @@ def check_fk(df: DataFrame, parent: DataFrame, on: Mapping[str, str]) -> DataFra
     """
     keys = parent.select(*[F.col(p).alias(c) for c, p in on.items()]).distinct()
     present = df.where(F.concat(*[F.col(c).cast("string") for c in on]).isNotNull())
-    return lookup_join(present, keys, list(on), "left_anti")
+    return present.join(keys, list(on), "left_anti")
 
 
 def check_fd(df: DataFrame, lhs: Sequence[str], rhs: str) -> DataFrame:

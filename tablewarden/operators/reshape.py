@@ -17,9 +17,9 @@ from tablewarden.operators.ordered import (
 
 
 def enrich(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "inner",
-           max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """Dimension lookup; the dimension is broadcast when it is measured to be small."""
-    return lookup_join(fact, dim, on, how, max_bytes)
+           measure: bool = False, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Dimension lookup; ``measure`` as for ``lookup_join``."""
+    return lookup_join(fact, dim, on, how, measure, max_bytes)
 
 
 def keep_matching(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -45,10 +45,12 @@ def join_asof(left: DataFrame, right: DataFrame, key: Sequence[str], left_ts: st
         *key, F.col(right_ts).alias("_ts"), F.lit(0).alias("_side"),
         *[F.col(c).alias(f"_tie_{c}") for c in tie],
         F.struct(*values).alias("_right"))
+    # The hash of a left row only spreads left rows of one key and time over slices.
     stacked_left = left.select(*key, F.col(left_ts).alias("_ts"), F.lit(1).alias("_side"),
+                               F.xxhash64(F.to_json(F.struct(*left.columns))).alias("_spread"),
                                F.struct(*left.columns).alias("_left"))
     stacked = stacked_right.unionByName(stacked_left, allowMissingColumns=True)
-    order = ["_ts", "_side", *[f"_tie_{c}" for c in tie]]
+    order = ["_ts", "_side", *[f"_tie_{c}" for c in tie], "_spread"]
     if max_rows is not None and largest_group(left, key) + largest_group(right, key) <= max_rows:
         max_rows = None
     carried = running(stacked, key, order, {"_match": ("last", "_right")}, max_rows)
@@ -93,9 +95,17 @@ def distinct_count(df: DataFrame, by: Sequence[str], col: str, exact: bool = Tru
 
 
 def pivot(df: DataFrame, by: Sequence[str], col: str, values: Sequence[object],
-          measure: Column) -> DataFrame:
-    """Rows to columns; the values are given, so no extra pass finds them."""
-    return df.groupBy(*by).pivot(col, list(values)).agg(measure)
+          measure: Column, rest: str = "other") -> DataFrame:
+    """Rows to columns; the values are given, so no extra pass finds them.
+
+    Rows whose value is not listed, or NULL, are measured in the column ``rest``.
+    """
+    names = [str(v) for v in values]
+    if rest in names:
+        raise ValueError(f"{rest} is one of the values; name another column for the rest")
+    text = F.col(col).cast("string")
+    listed = F.when(text.isin(names), text).otherwise(F.lit(rest))
+    return df.withColumn(col, listed).groupBy(*by).pivot(col, [*names, rest]).agg(measure)
 
 
 def unpivot(df: DataFrame, ids: Sequence[str], values: Sequence[str], name: str = "name",
@@ -262,15 +272,13 @@ def apply_batches(df: DataFrame, function: Callable[[Iterable[pd.DataFrame]], It
 
 
 def apply_group(df: DataFrame, by: Sequence[str], function: Callable[[pd.DataFrame], pd.DataFrame],
-                schema: str, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """User function over whole groups, refused when a group is too large for one task.
+                schema: str) -> DataFrame:
+    """User function over whole groups.
 
-    A user function needs its group in memory, so the size is checked rather than assumed.
-    A function whose results can be merged belongs in ``apply_partial_groups``.
+    The function sees its group as one frame, so a group has to fit into a task's memory; a
+    function whose results can be merged belongs in ``apply_partial_groups``, which has no such
+    limit.
     """
-    largest = largest_group(df, by)
-    if largest > max_rows:
-        raise ValueError(f"a group of {largest} rows is above {max_rows}; use apply_partial_groups")
     return df.groupBy(*by).applyInPandas(function, schema)
 
 

@@ -18,16 +18,8 @@ def _deletions(values: Column) -> Column:
         values, lambda v: F.concat(F.array(v), F.coalesce(shorter(v), F.array().cast("array<string>"))))))
 
 
-def fuzzy_pairs(df: DataFrame, col: str, max_dist: int = 1, block: Sequence[str] = ()
-                ) -> DataFrame:
-    """Pairs of different values within ``max_dist`` edits, optionally inside a block.
-
-    Equal values are counted once, so copies make no pairs among themselves. Two texts
-    within d edits share a text that is left after at most d deletions from each; joining
-    on those finds every pair without comparing a block with itself. How many values can
-    share such a text is bounded by its length and the alphabet, not by the table. The
-    texts are joined by their hash; the distance is checked afterwards.
-    """
+def _shared_texts(df: DataFrame, col: str, max_dist: int, block: Sequence[str]) -> DataFrame:
+    """(block, shared, value, rows): each distinct value with the texts left after deletions."""
     values = (df.where(F.col(col).isNotNull()).groupBy(*block, col)
               .agg(F.count(F.lit(1)).alias("rows")))
     # Few values make many keys, so they are spread over all tasks first.
@@ -36,8 +28,36 @@ def fuzzy_pairs(df: DataFrame, col: str, max_dist: int = 1, block: Sequence[str]
     keys = F.array(F.col(col))
     for _ in range(max_dist):
         keys = _deletions(keys)
-    spread = values.select(*block, F.col(col).alias("value"), "rows",
-                           F.explode(F.array_distinct(F.transform(keys, lambda k: F.xxhash64(k)))).alias("_key"))
+    return values.select(*block, F.explode(F.array_distinct(keys)).alias("shared"),
+                         F.col(col).alias("value"), "rows")
+
+
+def fuzzy_groups(df: DataFrame, col: str, max_dist: int = 1, block: Sequence[str] = ()) -> DataFrame:
+    """Groups of different values that agree after at most ``max_dist`` deletions from each.
+
+    One row per shared text: how many values leave it, the lowest and highest of them, and
+    their rows. Values within ``max_dist`` edits always share a group; no pairs are listed, and
+    one shuffle brings a group together as counts.
+    """
+    spread = _shared_texts(df, col, max_dist, block)
+    return (spread.groupBy(*block, "shared").agg(
+        F.count(F.lit(1)).alias("value_count"), F.min("value").alias("lowest"),
+        F.max("value").alias("highest"), F.sum("rows").alias("rows"))
+        .where(F.col("value_count") > 1))
+
+
+def fuzzy_pairs(df: DataFrame, col: str, max_dist: int = 1, block: Sequence[str] = ()
+                ) -> DataFrame:
+    """Pairs of different values within ``max_dist`` edits, optionally inside a block.
+
+    Equal values are counted once, so copies make no pairs among themselves. Two texts
+    within d edits share a text that is left after at most d deletions from each; joining
+    on those finds every pair without comparing a block with itself. How many values can
+    share such a text is bounded by its length and the alphabet, not by the table; still the
+    result grows with the number of near pairs, and ``fuzzy_groups`` is the form that does not.
+    The texts are joined by their hash; the distance is checked afterwards.
+    """
+    spread = _shared_texts(df, col, max_dist, block).withColumn("_key", F.xxhash64("shared"))
     left = spread.select(*block, "_key", F.col("value").alias("left_value"),
                          F.col("rows").alias("left_rows"))
     right = spread.select(*block, "_key", F.col("value").alias("right_value"),

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from tablewarden.functions.columns import money, null_if_token, tidy_text
 from tablewarden.operators import cleaning as C
-from tablewarden.operators.similar import fuzzy_pairs, near_repeats
+from tablewarden.operators.similar import fuzzy_groups, fuzzy_pairs, near_repeats
 from tablewarden.plans.registry import query
 from tablewarden.plans.values import number
 
@@ -80,13 +80,18 @@ def _typed(t):
         F.col("acctbal_raw").try_cast("decimal(12,2)").alias("acctbal"), "nation_raw")
 
 
+def _wide(t):
+    """With room for the digits of a mean: a filled decimal keeps its scale."""
+    return _typed(t).withColumn("acctbal", F.col("acctbal").cast("decimal(18,6)"))
+
+
 @query(_TYPED_SQL + """, g AS (
   SELECT segment, avg(acctbal) AS fill FROM typed WHERE acctbal IS NOT NULL GROUP BY segment)
 SELECT src_id, rep, CAST(CAST(coalesce(CAST(acctbal AS DOUBLE), fill) AS DECIMAL(18,4)) AS DOUBLE)
        AS acctbal
 FROM typed LEFT JOIN g ON typed.segment IS NOT DISTINCT FROM g.segment""", DIRTY)
 def c7_fill_group_mean(t):
-    return (C.fill_group(_typed(t), "acctbal", ["segment"], "mean")
+    return (C.fill_group(_wide(t), "acctbal", ["segment"], "mean")
             .select("src_id", "rep", number("acctbal", 4)))
 
 
@@ -96,7 +101,7 @@ SELECT src_id, rep, CAST(CAST(coalesce(CAST(acctbal AS DOUBLE), fill) AS DECIMAL
        AS acctbal
 FROM typed LEFT JOIN g ON typed.segment IS NOT DISTINCT FROM g.segment""", DIRTY)
 def c7_fill_group_median(t):
-    return (C.fill_group(_typed(t), "acctbal", ["segment"], "median")
+    return (C.fill_group(_wide(t), "acctbal", ["segment"], "median")
             .select("src_id", "rep", number("acctbal", 4)))
 
 
@@ -154,6 +159,17 @@ def c11_fuzzy_pairs(t):
                     F.col("distance").cast("bigint").alias("distance")))
 
 
+@query("""WITH v AS (SELECT lower(regexp_replace(trim(name_raw), '\\s+', ' ', 'g')) AS name, count(*) AS rows
+  FROM dirty_customer WHERE name_raw IS NOT NULL GROUP BY 1),
+k AS (SELECT DISTINCT name, rows, unnest(list_concat([name], list_transform(range(1, length(name) + 1),
+  lambda i: substr(name, 1, i - 1) || substr(name, i + 1)))) AS shared FROM v)
+SELECT shared, count(*) AS value_count, min(name) AS lowest, max(name) AS highest, sum(rows)::BIGINT AS rows
+FROM k GROUP BY shared HAVING count(*) > 1""", ["dirty_customer"])
+def c11_fuzzy_groups(t):
+    names = C.normalize_text(t.dirty_customer, ["name_raw"], "lower")
+    return fuzzy_groups(names, "name_raw", 1)
+
+
 _FIELDS = ["p_name", "p_brand", "p_type", "p_size"]
 
 

@@ -10,30 +10,28 @@ from tablewarden.operators import monitoring as M
 from tablewarden.operators.lookup import salted_join
 from tablewarden.plans.registry import query
 from tablewarden.plans.values import number, small_limit
+from tablewarden.sources.tables import SCHEMAS
 from tablewarden.storage import materialize, new_path
 
 LOG = ["query_log"]
 
 
-def _profile_sql(table: str, columns: list[str]) -> str:
+_DIRTY = ["src_id", "name_raw", "segment_raw", "acctbal_raw", "nation_raw", "signup_raw", "rep"]
+_PROFILED = {name: [part.split()[0] for part in schema.split(", ")] for name, schema in SCHEMAS.items()} \
+    | {"dirty_customer": _DIRTY}
+
+
+def _profile_sql(table, columns, distinct):
+    def text(c: str, fn: str) -> str:
+        return f"CAST({fn}({f'len({c})' if c == 'embedding' else c}) AS VARCHAR) AS {fn}_value"
     return "\nUNION ALL ".join(
         f"""SELECT '{table}' AS table_name, '{c}' AS column_name, count(*) AS rows,
-  count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS distinct_values,
-  CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value FROM {table}"""
+  count(*) - count({c}) AS nulls, {distinct(c)}, {text(c, 'min')}, {text(c, 'max')} FROM {table}"""
         for c in columns)
 
 
-_PROFILED = {
-    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
-    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
-               "o_orderpriority"],
-    "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
-    "dirty_customer": ["src_id", "name_raw", "segment_raw", "acctbal_raw", "nation_raw",
-                       "signup_raw", "rep"],
-}
-
-
-@query("\nUNION ALL ".join(_profile_sql(t, c) for t, c in _PROFILED.items()), ["dirty_customer"])
+@query("\nUNION ALL ".join(_profile_sql(t, c, lambda x: f"count(DISTINCT {x}) AS distinct_values")
+                           for t, c in _PROFILED.items()), ["dirty_customer"])
 def m1_profile(t):
     parts = [M.profile(getattr(t, name), exact=True).withColumn("table_name", F.lit(name))
              for name in _PROFILED]
@@ -43,10 +41,16 @@ def m1_profile(t):
     return result
 
 
-@query()
+@query(_profile_sql("lineitem", _PROFILED["lineitem"],
+                    lambda x: f"count(DISTINCT {x}) AS distinct_values, TRUE AS close"))
 def m1_profile_sketched(t):
-    """The form for very large tables: distinct counts from sketches, no extra shuffle."""
-    return M.profile(t.lineitem)
+    """The form for very large tables, next to exact counts: within five standard errors (5 %)."""
+    sketch = M.profile(t.lineitem).withColumnRenamed("distinct_values", "estimate")
+    exact = M.profile(t.lineitem, exact=True).select("column_name", "distinct_values")
+    gap = F.abs(F.col("estimate") - F.col("distinct_values"))
+    return sketch.join(exact, "column_name").select(
+        F.lit("lineitem").alias("table_name"), "column_name", "rows", "nulls", "distinct_values",
+        "min_value", "max_value", (gap <= 0.25 * F.col("distinct_values")).alias("close"))
 
 
 @query("""WITH e AS (SELECT min(duration_ms) AS lo, max(duration_ms) AS hi FROM query_log),
@@ -81,10 +85,22 @@ def m3_key_skew(t):
         "l_partkey", "rows", number("share", 8), number("ratio_to_mean", 6))
 
 
-@query("SELECT object_id, count(*) AS rows FROM query_log GROUP BY 1", LOG)
+@query("""SELECT object_id, count(*) AS rows, TRUE AS close FROM query_log GROUP BY 1
+ORDER BY rows DESC, object_id LIMIT 20""", LOG)
 def m3_key_skew_approximate(t):
-    """There are fewer objects than the sketch tracks, so its counts are exact here."""
-    return M.key_skew_approximate(t.query_log, "object_id", 1000)
+    """The heaviest objects, with whether the sketch's count is within its bound of the exact one.
+
+    A sketch of n tracked keys is off by at most 3.5 / n of all rows (a key that it lost counts
+    as none).
+    """
+    tracked = 10_000
+    exact = t.query_log.groupBy("object_id").agg(F.count(F.lit(1)).alias("rows"))
+    whole = exact.agg(F.sum("rows").alias("n")).scalar()
+    sketch = M.key_skew_approximate(t.query_log, "object_id", 1000, tracked) \
+        .select("object_id", F.col("rows").alias("estimate"))
+    top = exact.orderBy(F.desc("rows"), "object_id").limit(20).join(sketch, "object_id", "left")
+    gap = F.abs(F.coalesce("estimate", F.lit(0)) - F.col("rows"))
+    return top.select("object_id", "rows", (gap <= 3.5 * whole / tracked).alias("close"))
 
 
 @query("""SELECT query_id, query_class, duration_ms FROM query_log
@@ -100,12 +116,24 @@ def m5_latency(t):
         "query_class", *[number(p, 6) for p in M.PERCENTILES])
 
 
-@query("""SELECT query_class, quantile_disc(duration_ms, 0.5) AS p50,
-  quantile_disc(duration_ms, 0.95) AS p95, quantile_disc(duration_ms, 0.99) AS p99
+@query(f"""SELECT query_class, {_QUANTILES}, TRUE AS p50_close, TRUE AS p95_close, TRUE AS p99_close
 FROM query_log GROUP BY 1""", LOG)
 def m5_latency_approximate(t):
-    """The rank error is below one row here, so the sketch gives the exact rank."""
-    return M.latency(t.query_log, ["query_class"], exact=False)
+    """Exact quantiles, with whether the sketch's value is within its rank error (1 / accuracy)."""
+    by, accuracy = ["query_class"], 10_000
+    sketch = M.latency(t.query_log, by, exact=False).select(
+        *by, *[F.col(p).alias(f"_{p}") for p in M.PERCENTILES])
+    ranked = t.query_log.where("duration_ms IS NOT NULL").join(sketch, by)
+    room = F.count(F.lit(1)) / accuracy + 1
+
+    def close(name: str, share: float):
+        place = share * F.count(F.lit(1))
+        below, upto = F.count_if(F.col("duration_ms") < F.col(f"_{name}")), F.count_if(
+            F.col("duration_ms") <= F.col(f"_{name}"))
+        return ((below <= place + room) & (upto >= place - room)).alias(f"{name}_close")
+    marks = ranked.groupBy(*by).agg(*[close(n, p) for n, p in M.PERCENTILES.items()])
+    return (M.latency(t.query_log, by).select(*by, *[number(p, 6) for p in M.PERCENTILES])
+            .join(marks, by))
 
 
 def _throughput_sql(bucket: str, source: str, by: str = "") -> str:
@@ -283,9 +311,16 @@ def m15_layout_rows(t):
     return parts[0].union(parts[1]).union(parts[2])
 
 
-@query()
+@query("""SELECT count(*) AS rows, TRUE AS has_bytes, TRUE AS all_files, TRUE AS small_within,
+  TRUE AS largest_above_mean FROM lineitem""")
 def m15_layout_report(t):
-    return Y.layout_summary(Y.layout_report(t.lineitem))
+    """The report of the table: its rows, and what has to hold for its files."""
+    report = Y.layout_summary(Y.layout_report(t.lineitem))
+    return report.select(
+        "rows", (F.col("bytes") > 0).alias("has_bytes"),
+        (F.col("files") == len(t.lineitem.inputFiles())).alias("all_files"),
+        F.col("small_files").between(0, F.col("files")).alias("small_within"),
+        (F.col("largest_to_mean") >= 1).alias("largest_above_mean"))
 
 
 @query("""SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate, l_extendedprice
@@ -293,7 +328,7 @@ FROM lineitem""")
 def m16_compact(t):
     lines = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                               "l_shipdate", "l_extendedprice")
-    return Y.compact(lines, new_path(t.spark, "compact"), 4, ["l_shipdate"], ["l_orderkey"])
+    return Y.compact(lines, new_path(t.spark, "compact"), ["l_shipdate"], ["l_orderkey"])
 
 
 @query("""SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate, s_name
@@ -302,4 +337,4 @@ def m17_salted_join(t):
     lines = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                               "l_shipdate")
     names = t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
-    return salted_join(lines, names, ["l_suppkey"], salts=8, hot_rows=500)
+    return salted_join(lines, names, ["l_suppkey"], salts=8)

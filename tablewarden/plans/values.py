@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablewarden.operators.ordered import MAX_GROUP_ROWS
+
 
 def number(col: str | Column, places: int, name: str | None = None) -> Column:
     """A double rounded through decimal, so that the last bits of a sum do not show."""
@@ -15,5 +17,5 @@ def number(col: str | Column, places: int, name: str | None = None) -> Column:
 
 
 def small_limit(df: DataFrame) -> int:
-    """A group limit of a fortieth of the table, so that a few large groups are split."""
-    return max(1, df.count() // 40)
+    """A group limit that splits groups in small tables too, and never exceeds the usual one."""
+    return min(MAX_GROUP_ROWS, max(1, df.count() // 40))

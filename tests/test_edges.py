@@ -119,7 +119,40 @@ def test_restore_chain(spark):
     assert chain(2) == []
     assert chain(3) == [3]
     assert chain(5) == [3, 4, 5]
-    assert chain(9) == [3, 6, 8]
+    assert chain(9) == [3, 6]
+
+
+def test_a_failed_increment_breaks_the_chain(spark):
+    """One meaning in the chain, the recovery gaps and the health report."""
+    runs = [(1, "INCR", 1, "OK"), (2, "FULL", 2, "OK"), (3, "INCR", 3, "OK"), (4, "INCR", 4, "FAILED"),
+            (5, "INCR", 5, "OK"), (6, "INCR", 6, "OK"), (7, "DIFF", 7, "FAILED"), (8, "INCR", 8, "OK"),
+            (9, "DIFF", 9, "OK"), (10, "INCR", 10, "OK")]
+    df = catalog(spark, runs)
+    assert [r[0] for r in rows(K.mark_broken(df).where("broken"), "backup_id")] == [5, 6, 8]
+    assert [r[0] for r in rows(K.restore_chain(df, "2024-01-08"), "backup_id")] == [2, 3]
+    assert [r[0] for r in rows(K.restore_chain(df, "2024-01-10"), "backup_id")] == [10, 2, 9]
+    assert rows(K.rpo_report(df, 2 * 86400), "backup_id", "gap_seconds") == [(9, 6 * 86400.0)]
+    assert K.backup_health(df).first()["broken_increments"] == 3
+    split = K.mark_broken(df, max_rows=2)
+    assert rows(split.where("broken"), "backup_id") == [(5,), (6,), (8,)]
+
+
+def test_pivot_and_profile_leave_nothing_out(spark, values):
+    df = values([(1, "a", 1.0), (2, "b", 2.0), (3, "c", 4.0), (4, None, 8.0)])
+    wide = R.pivot(df.selectExpr("'x' as k", "g", "v"), ["k"], "g", ["a", "b"], F.sum("v")).first()
+    assert (wide["a"], wide["b"], wide["other"]) == (1.0, 2.0, 12.0)
+    nested = spark.sql("select * from values (array(1, 2), map('a', 1), named_struct('x', 1)), "
+                       "(array(3), map('a', 1), null) as t(a, m, s)")
+    for exact in (True, False, ["a"]):
+        assert rows(M.profile(nested, exact), "column_name", "nulls", "distinct_values", "min_value", "max_value") == [
+            ("a", 0, 2, "1", "2"), ("m", 0, 1, "1", "1"), ("s", 1, 1, "1", "1")]
+
+
+def test_asof_of_many_left_rows_at_one_time(spark):
+    left = spark.range(200).selectExpr("id", "1 as k", "10 as t")
+    right = spark.createDataFrame([(1, 5, "a"), (1, 11, "b")], "k int, t int, v string")
+    joined = R.join_asof(left, right, ["k"], "t", "t", ["v"], max_rows=5)
+    assert joined.count() == 200 and joined.where("v = 'a'").count() == 200
 
 
 def test_retention(spark):
@@ -135,10 +168,9 @@ def test_alerts_need_neighbouring_buckets(spark):
     assert [r[0] for r in rows(found, "breaches")] == [2, 3]
 
 
-def test_apply_group_refuses_large_groups(values):
+def test_apply_group_takes_any_group(values):
     df = values([(i, "a", 1.0) for i in range(20)])
-    with pytest.raises(ValueError):
-        R.apply_group(df, ["g"], lambda p: p, "id int, g string, v double", max_rows=10)
+    assert R.apply_group(df, ["g"], lambda p: p, "id int, g string, v double").count() == 20
 
 
 def test_calendar(spark):

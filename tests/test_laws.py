@@ -73,11 +73,29 @@ def test_salted_join_is_the_join(tables, how):
     assert rows(salted) == rows(lines.join(suppliers, "l_suppkey", how))
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_salted_join_with_a_hot_and_a_missing_key(spark, how):
+    left = spark.range(3000).selectExpr("id", "case when id % 2 = 0 then 1 when id % 3 = 0 then null else id end as k")
+    right = spark.createDataFrame([(1, "a"), (5, "b"), (None, "c")], "k bigint, name string")
+    salted = J.salted_join(left, right, ["k"], 5, how)
+    assert rows(salted) == rows(left.join(right, "k", how))
+
+
+def test_history_in_one_pass_is_the_stepwise_one(spark):
+    state = lambda *r: spark.createDataFrame(list(r), "k int, v string")
+    states = [(state((1, "a"), (2, "b"), (4, None)), "2020-01-01"), (state((1, "a"), (2, "c"), (3, "d")), "2020-02-01"),
+              (state((2, "c"), (4, None)), "2020-03-01"), (state((1, "a"), (2, "b"), (4, None)), "2020-04-01")]
+    stepwise = L.open_history(*states[0])
+    for df, at in states[1:]:
+        stepwise = L.history(stepwise, df, ["k"], at)
+    assert rows(L.history_of(states, ["k"])) == rows(stepwise)
+
+
 def test_lookup_join_beyond_the_broadcast_size(tables):
     plain = rows(J.lookup_join(tables.orders, tables.customer.withColumnRenamed("c_custkey", "o_custkey"),
                                ["o_custkey"]))
     large = J.lookup_join(tables.orders, tables.customer.withColumnRenamed("c_custkey", "o_custkey"),
-                          ["o_custkey"], max_bytes=1)
+                          ["o_custkey"], measure=True, max_bytes=1)
     assert rows(large) == plain
 
 
@@ -138,6 +156,19 @@ def test_fuzzy_pairs_against_all_pairs(spark):
         assert got == sorted(want, key=repr)
 
 
+def test_fuzzy_groups_hold_all_near_values(spark):
+    words = ["ab", "abc", "abd", "acb", "abcd", "zzz", "zz", "azz", None, "ab"]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    left = lambda w: {w} | {w[:i] + w[i + 1:] for i in range(len(w))}
+    groups = {}
+    for w in {w for w in words if w is not None}:
+        for k in left(w):
+            groups.setdefault(k, []).append(w)
+    want = [(min(g), max(g), sum(words.count(w) for w in g), k, len(g)) for k, g in groups.items() if len(g) > 1]
+    got = rows(S.fuzzy_groups(df, "w"), "lowest", "highest", "rows", "shared", "value_count")
+    assert got == sorted(want, key=repr)
+
+
 def test_dedupe_keep_one_row_per_key(tables):
     kept = C.dedupe_keep(tables.dirty_customer, ["src_id"], ["rep"])
     assert kept.count() == tables.customer.count() and kept.where("rep > 0").count() == 0
@@ -145,7 +176,7 @@ def test_dedupe_keep_one_row_per_key(tables):
 
 def test_write_and_compact_keep_rows(tables, spark):
     lines = tables.lineitem
-    again = Y.compact(lines, new_path(spark, "compact"), 3, ["l_shipdate"], ["l_orderkey"])
+    again = Y.compact(lines, new_path(spark, "compact"), ["l_shipdate"], ["l_orderkey"], 3)
     assert rows(B.digest(again)) == rows(B.digest(lines))
     report = Y.layout_report(again)
     assert report.agg(F.sum("rows")).first()[0] == lines.count()
