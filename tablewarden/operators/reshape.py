@@ -299,9 +299,18 @@ def apply_partial_groups(df: DataFrame, by: Sequence[str],
             .agg(*[c.alias(n) for n, c in merge.items()]))
 
 
-def apply_udtf(df: DataFrame, table_function, *inputs: str, keep: Sequence[str] = ()) -> DataFrame:
-    """Rows that a user table function makes from each input row, with the ``keep`` columns."""
-    arguments = [F.col(c).outer() for c in inputs]
-    return df.lateralJoin(table_function(*arguments)).select(
-        *[df[k] for k in keep], *[f.name for f in table_function.returnType.fields]
-        if hasattr(table_function.returnType, "fields") else "*")
+def apply_udtf(df: DataFrame, function: Callable[[pd.DataFrame], pd.DataFrame], schema: str,
+               *inputs: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Rows that a user table function makes from each input row, with the ``keep`` columns.
+
+    The function takes a batch of the ``inputs`` and returns the rows it makes of it; their index
+    says which input row they come from. It is called once per batch, never per row.
+    """
+    kept = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keep)
+
+    def each(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+        for batch in batches:
+            batch = batch.reset_index(drop=True)
+            yield batch[list(keep)].join(function(batch[list(inputs)]), how="inner")
+    columns = list(dict.fromkeys([*keep, *inputs]))
+    return df.select(*columns).mapInPandas(each, f"{kept}, {schema}" if kept else schema)

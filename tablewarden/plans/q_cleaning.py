@@ -82,7 +82,7 @@ def _typed(t):
 
 def _wide(t):
     """With room for the digits of a mean: a filled decimal keeps its scale."""
-    return _typed(t).withColumn("acctbal", F.col("acctbal").cast("decimal(18,6)"))
+    return _typed(t).withColumn("acctbal", F.col("acctbal").cast("decimal(28,12)"))
 
 
 @query(_TYPED_SQL + """, g AS (

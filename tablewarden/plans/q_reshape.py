@@ -400,10 +400,6 @@ def t15_apply_group(t):
 
 @query("""SELECT p_partkey, unnest(string_split(p_name, ' ')) AS word FROM part""")
 def t15_apply_udtf(t):
-    @F.udtf(returnType="word string")
-    class Words:
-        def eval(self, text: str):
-            for word in text.split(" "):
-                yield word,
-    return R.apply_udtf(t.part.select("p_partkey", "p_name"), Words, "p_name",
-                        keep=["p_partkey"])
+    def words(batch: pd.DataFrame) -> pd.DataFrame:
+        return batch["p_name"].str.split(" ").explode().to_frame("word")
+    return R.apply_udtf(t.part, words, "word string", "p_name", keep=["p_partkey"])

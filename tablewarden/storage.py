@@ -1,17 +1,20 @@
 """Shared scratch folder: where intermediate tables and stream checkpoints live.
 
 The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a local
-session, where that is unset, gets a temporary folder of its own.
+session, where that is unset, gets a temporary folder of its own, which goes when Python ends.
 """
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folder: str | None = None
+_made: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -23,12 +26,15 @@ def shared_folder(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if _local_folder is None:
         _local_folder = tempfile.mkdtemp(prefix="tablewarden-")
+        atexit.register(shutil.rmtree, _local_folder, ignore_errors=True)
     return _local_folder
 
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -41,3 +47,14 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession) -> None:
+    """Remove the intermediate files that this process has written so far.
+
+    A DataFrame may read them until its result is stored, so this is for the caller of the
+    operators, after a result has been written; paths of other processes are not touched.
+    """
+    while _made:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -19,20 +19,19 @@ def stream_late(sdf: DataFrame, path: str, checkpoint: str, late_seconds: float,
     """Store arrivals partitioned by whether they are ``late``.
 
     A row is late when it is more than ``late_seconds`` behind the newest time of all
-    earlier batches. That time is stored per batch, so a repeated batch decides as before.
+    earlier batches. That time is stored per batch, so a repeated batch decides as before and
+    each batch reads one mark, however many came before it.
     """
     def work(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        marks = (spark.read.option("ignoreMissingFiles", "true")
-                 .schema("mark timestamp_ntz, batch_id bigint").parquet(f"{path}/marks")
-                 if batch_id else None)
-        mark = marks.where(F.col("batch_id") < batch_id).agg(F.max("mark")).first()[0] if marks else None
+        mark = (spark.read.schema("mark timestamp_ntz").parquet(f"{path}/marks/batch_id={batch_id - 1}")
+                .first()["mark"] if batch_id else None)
+        known = F.lit(mark).cast("timestamp_ntz")
         time = F.col(ts).cast("timestamp_ntz")
-        late = (time < F.lit(mark).cast("timestamp_ntz") - interval(late_seconds)
-                if mark is not None else F.lit(False))
-        tagged = batch.withColumn("late", late)
-        write_batch(tagged, batch_id, f"{path}/rows", ["late"])
-        write_batch(batch.agg(F.max(time).alias("mark")), batch_id, f"{path}/marks")
+        late = time < known - interval(late_seconds) if mark is not None else F.lit(False)
+        write_batch(batch.withColumn("late", late), batch_id, f"{path}/rows", ["late"])
+        newest = batch.agg(F.greatest(F.max(time), known).alias("mark"))
+        write_batch(newest, batch_id, f"{path}/marks")
     return run_batches(sdf, work, checkpoint)
 
 

@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as entry_points
 import check
+from tablewarden.plans.catalogue import ORACLES, QUERIES
 from tests.conftest import SMALL
 
-NAMES = sorted(entry_points.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +18,7 @@ def con():
 @pytest.mark.parametrize("name", NAMES)
 def test_query(spark, con, name):
     verdict = check.compare(spark, con, SMALL, name)
-    assert verdict.startswith(("ok", "rows")) and "differ" not in verdict, verdict
+    assert verdict.startswith("ok") and "differ" not in verdict, verdict
 
 
 def test_entry(spark):
@@ -26,4 +27,6 @@ def test_entry(spark):
 
 
 def test_oracles_have_queries():
-    assert set(entry_points.oracle_sql()) <= set(NAMES)
+    assert set(ORACLES) == set(NAMES)
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
+    assert set(NAMES) <= set(entry_points.queries())
