@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from tablewarden.llm.common import Packed, materialize, text_key
 
-# Sentences of public licences and notices, as they are written.
+# Sentences of public licences and notices, as they are written, each up to where
+# ``ENDS`` ends it.
 SENTENCES = {
     "mit-name": "The MIT License (MIT)",
     "mit-short": "Released under the MIT License.",
@@ -54,16 +55,16 @@ SENTENCES = {
     "apache-see": "See the License for the specific language governing permissions and limitations under the "
                   "License.",
     "gpl3-work": "This work is licensed under the GNU General Public License, version 3.",
-    "gpl-free": "This program is free software: you can redistribute it and/or modify it under the terms of "
-                "the GNU General Public License as published by the Free Software Foundation, either version 3 "
-                "of the License, or (at your option) any later version.",
+    "gpl-free": "you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+                "published by the Free Software Foundation, either version 3 of the License, or (at your "
+                "option) any later version.",
     "gpl2-free": "This program is free software; you can redistribute it and/or modify it under the terms of "
                  "the GNU General Public License as published by the Free Software Foundation; either version 2 "
                  "of the License, or (at your option) any later version.",
     "gpl-hope": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; "
                 "without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
     "gpl-see": "See the GNU General Public License for more details.",
-    "mpl-terms": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "mpl-terms": "This Source Code Form is subject to the terms of the Mozilla Public License, v.",
     "cc-by-nc": "Licensed under CC BY-NC 4.0.",
     "cc-by": "Licensed under CC BY 4.0.",
     "cc-by-sa": "Licensed under CC BY-SA 4.0.",
