@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewarden.llm.common import Packed
+from tablewarden.llm.common import Packed, in_small_batches
 from tablewarden.llm.merges import decode_batches, encode_batches
 
 
@@ -23,7 +23,7 @@ def encode(docs: DataFrame, ranks: str, pattern: str, text: str = "text") -> Dat
     """
     packed = Packed(docs)
     place = int(packed.named(text)[2:])
-    encoded = packed.df.mapInArrow(
+    encoded = in_small_batches(packed.df).mapInArrow(
         partial(encode_batches, path=ranks, pattern=pattern, place=place),
         T.StructType([*packed.df.schema.fields, T.StructField("_ids", T.BinaryType())]))
     return packed.unpack(encoded, [F.col("_ids"), (F.octet_length("_ids") / 4).cast("bigint")],
@@ -34,7 +34,7 @@ def decode(tokens: DataFrame, ranks: str, pattern: str, ids: str = "ids") -> Dat
     """Add ``decoded``: the bytes that the ids stand for. NULL ids give no bytes."""
     packed = Packed(tokens)
     place = int(packed.named(ids)[2:])
-    decoded = packed.df.mapInArrow(
+    decoded = in_small_batches(packed.df).mapInArrow(
         partial(decode_batches, path=ranks, pattern=pattern, place=place),
         T.StructType([*packed.df.schema.fields, T.StructField("_decoded", T.BinaryType())]))
     return packed.unpack(decoded, [F.col("_decoded")], ["decoded"])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tablewarden.operators.lookup import broadcast_if_small
 from tablewarden.storage import materialize
 
-__all__ = ["Packed", "let", "text_key", "key_hex", "semi_join_stored", "materialize"]
+__all__ = ["Packed", "in_small_batches", "let", "text_key", "key_hex", "semi_join_stored", "materialize"]
 
 
 class Packed:
@@ -54,6 +54,23 @@ def key_hex(key: str | Column) -> Column:
     return F.lower(F.hex(key))
 
 
+# Rows in an Arrow batch of texts. Spark bounds batches by rows only, and its buffers grow with the
+# largest batch, so this is what bounds a task's memory when texts are long.
+BATCH_ROWS = 256
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with Arrow batches of its session limited to ``BATCH_ROWS`` rows.
+
+    Spark reads the limit when a plan runs, so it stays lowered; results do not depend on it.
+    """
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_BATCH_SETTING)) <= BATCH_ROWS:
+        conf.set(_BATCH_SETTING, BATCH_ROWS)
+    return df
+
+
 def semi_join_stored(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     """Rows of ``df`` whose ``on`` is among the stored ``keys`` (one column, distinct).
 

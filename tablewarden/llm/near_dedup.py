@@ -14,14 +14,14 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewarden.llm.common import Packed, materialize, semi_join_stored, text_key
+from tablewarden.llm.common import Packed, in_small_batches, materialize, semi_join_stored, text_key
 from tablewarden.llm.components import components
 from tablewarden.llm.sketches import aligned_batches, sketch_batches
 
 SIMILARITY = 0.8
 RUN = 5
 PICKS = 2
-SKETCHES = 16
+SKETCHES = 32
 
 
 def near_pairs(texts: DataFrame, similarity: float = SIMILARITY, k: int = RUN, picks: int = PICKS,
@@ -31,7 +31,7 @@ def near_pairs(texts: DataFrame, similarity: float = SIMILARITY, k: int = RUN, p
     A text may be there many times; it is sketched each time and counted once.
     """
     texts = texts.where(F.col("_text").isNotNull())
-    sketched = texts.select("_key", "_text").mapInArrow(
+    sketched = in_small_batches(texts.select("_key", "_text")).mapInArrow(
         partial(sketch_batches, k=k, picks=picks, sketches=sketches),
         "_key binary, _words bigint, _sketch array<bigint>")
     values = materialize(
@@ -55,7 +55,7 @@ def near_pairs(texts: DataFrame, similarity: float = SIMILARITY, k: int = RUN, p
     both = (pairs.join(chosen.select(F.col("_key").alias("b"), F.col("_text").alias("_second")), "b")
             .join(chosen.select(F.col("_key").alias("a"), F.col("_text").alias("_first")), "a")
             .select("a", "b", "_first", "_second"))
-    return both.mapInArrow(partial(aligned_batches, similarity=similarity), "a binary, b binary")
+    return in_small_batches(both).mapInArrow(partial(aligned_batches, similarity=similarity), "a binary, b binary")
 
 
 def _classes(base: DataFrame, text: str, ident: str, **how) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewarden.llm.common import Packed
+from tablewarden.llm.common import Packed, in_small_batches
 from tablewarden.llm.statistics import (
     NAMES, Discriminant, moment_batches, ratio_batches, score_batches)
 from tablewarden.llm.training import logistic
@@ -25,7 +25,7 @@ def fit(training: DataFrame, shrink: float = SHRINK, ridge: float = RIDGE) -> Di
     without rows gets the pooled covariance and a mean of 0, and its prior makes it unlikely; without
     any rows both classes are alike and every score is one half.
     """
-    rows = training.select("_text", "_label")
+    rows = in_small_batches(training.select("_text", "_label"))
     d = len(NAMES)
     total = np.zeros((2, 1 + d + d * d))
     sums = (rows.mapInArrow(moment_batches, "_label int, _entry int, _value double")
@@ -45,6 +45,6 @@ def score(docs: DataFrame, model: Discriminant, text: str = "text") -> DataFrame
     """Add ``score`` (0 to 1, higher for better texts). A NULL text is scored as an empty one."""
     packed = Packed(docs)
     schema = T.StructType([*packed.df.schema.fields, T.StructField("_score", T.DoubleType())])
-    scored = packed.df.mapInArrow(
+    scored = in_small_batches(packed.df).mapInArrow(
         partial(score_batches, model=model, place=int(packed.named(text)[2:])), schema)
     return packed.unpack(scored, [F.col("_score")], ["score"])

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewarden.llm.common import Packed, materialize
+from tablewarden.llm.common import Packed, in_small_batches, materialize
 from tablewarden.llm.segments import (
     Lexicon, count_batches, measure_batches, score_batches)
 from tablewarden.llm.training import logistic
@@ -38,7 +38,7 @@ def fit(training: DataFrame, prior: float = PRIOR, least_z: float = LEAST_Z,
     (an even chance without rows).
     """
     sizes = {r[0]: r[1] for r in training.groupBy("_label").count().collect()}  # two rows
-    counts = (training.select("_text", "_label")
+    counts = (in_small_batches(training.select("_text", "_label"))
               .mapInArrow(count_batches, "_term string, _toxic bigint, _clean bigint")
               .groupBy("_term").agg(F.sum("_toxic").alias("_toxic"), F.sum("_clean").alias("_clean")))
     counts = materialize(counts, "term_counts")
@@ -59,7 +59,7 @@ def fit(training: DataFrame, prior: float = PRIOR, least_z: float = LEAST_Z,
         scores = {r["_term"]: r["_odds"] for r in chosen}
         decay = _decay([(r["_share"], r["_odds"]) for r in chosen], cost)
     lexicon = Lexicon(scores, cost, decay)
-    rows = training.select("_text", "_label")
+    rows = in_small_batches(training.select("_text", "_label"))
     if scores:
         # How often clean words start a segment sets the rate of the law.
         measured = rows.where("_label = 0").mapInArrow(
@@ -108,6 +108,6 @@ def score(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFrame:
         T.StructField("score", T.DoubleType())]))
     schema = T.StructType([*packed.df.schema.fields, T.StructField("_score", T.DoubleType()),
                            T.StructField("_passages", passages)])
-    scored = packed.df.mapInArrow(
+    scored = in_small_batches(packed.df).mapInArrow(
         partial(score_batches, lexicon=lexicon, place=int(packed.named(text)[2:])), schema)
     return packed.unpack(scored, [F.col("_score"), F.col("_passages")], ["score", "passages"])

@@ -7,7 +7,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewarden.llm.common import materialize
+from tablewarden.llm.common import in_small_batches, materialize
 from tablewarden.llm.records import ID_END, ID_PREFIX, read_batches, write_batches
 from tablewarden.operators.lookup import broadcast_if_small
 from tablewarden.storage import new_path
@@ -36,8 +36,9 @@ def write_archives(pages: DataFrame, ident: str = "page_id", url: str = "url", h
     joined = rows.join(broadcast_if_small(repeated), ["_digest", "_size"], "left")
     revisit = F.col("_first").isNotNull() & ~F.col("_page").eqNullSafe(F.col("_first"))
     target = folder or new_path(spark, "warc")
-    archives = joined.select("_page", "_url", "_html", F.when(revisit, F.col("_first")), revisit) \
-        .mapInArrow(partial(write_batches, folder=target), "path string, records bigint, bytes bigint")
+    records = joined.select("_page", "_url", "_html", F.when(revisit, F.col("_first")), revisit)
+    archives = in_small_batches(records).mapInArrow(
+        partial(write_batches, folder=target), "path string, records bigint, bytes bigint")
     return materialize(archives, "warc_list")
 
 
