@@ -64,7 +64,10 @@ def maximal(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: s
 
 def format_chats(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",
                  text: str = "text") -> DataFrame:
-    """One row per maximal conversation: its id, ``n_turns`` and the rendered ``chat``."""
+    """One row per maximal conversation: its id, ``n_turns`` and the rendered ``chat``.
+
+    A conversation is one row of the result, so its turns meet in one task.
+    """
     rendered = F.concat(F.lit(TURN_START), F.col("_role"), F.lit(ROLE_END), F.col("_text"),
                         F.lit("\n" + TURN_END))
     chats = (maximal(turns, conv, turn, role, text)

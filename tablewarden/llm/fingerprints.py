@@ -134,7 +134,7 @@ def with_next(docs: DataFrame, ident: str = "doc_id", text: str = "text", rows:
     NULL ids come first; rows with equal ids are ordered by text; the first text follows the last
     one. NULL texts are empty. The order is cut into slices at quantiles of the ids, so each text
     is shuffled once, to the task of its slice, and only the first text of a slice goes to the
-    slice before.
+    slice before. Rows of one id lie in one slice.
     """
     table = docs.select(F.col(ident).cast("bigint").alias("_id"),
                         F.coalesce(F.col(text), F.lit("")).alias("_text"))
