@@ -4,7 +4,8 @@ The similarity of two texts is one minus their edit distance in words over the l
 words. A sketch value takes the few occurrence-labelled runs of ``k`` words with the smallest
 hashes and keeps them in text order, so equal values speak for shared words in a shared order.
 Texts with an equal value are compared with the smallest and with the largest text that has it,
-never all with all; alignment decides. Classes are the connected components of what remains.
+then, in rounds, with ever more of those that are not in one component yet; alignment decides.
+Classes are the connected components of what remains.
 """
 
 from __future__ import annotations
@@ -22,13 +23,33 @@ SIMILARITY = 0.8
 RUN = 5
 PICKS = 2
 SKETCHES = 32
+# A bucket is cut into so many times more parts in each round.
+MORE_PARTS = 8
 
 
-def near_pairs(texts: DataFrame, similarity: float = SIMILARITY, k: int = RUN, picks: int = PICKS,
+def _near(texts: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """The stored ``pairs`` (a, b) whose texts are near by alignment, stored."""
+    involved = materialize(pairs.select("a").unionAll(pairs.select("b")).distinct()
+                           .toDF("_key"), "near_involved")
+    chosen = materialize(semi_join_stored(texts.select("_key", "_text"), involved, "_key")
+                         .dropDuplicates(["_key"]), "near_texts")
+    both = (pairs.join(chosen.select(F.col("_key").alias("b"), F.col("_text").alias("_second")), "b")
+            .join(chosen.select(F.col("_key").alias("a"), F.col("_text").alias("_first")), "a")
+            .select("a", "b", "_first", "_second"))
+    return materialize(in_small_batches(both).mapInArrow(
+        partial(aligned_batches, similarity=similarity), "a binary, b binary"), "near_pairs")
+
+
+def near_roots(texts: DataFrame, similarity: float = SIMILARITY, k: int = RUN, picks: int = PICKS,
                sketches: int = SKETCHES) -> DataFrame:
-    """(a, b) of texts that are near each other; ``texts`` has ``_key`` and ``_text``.
+    """(node, root) of the texts that are near another; ``texts`` has ``_key`` and ``_text``.
 
     A text may be there many times; it is sketched each time and counted once.
+
+    The texts of a sketch value are its bucket. In each round the smallest and the largest text
+    of every part of a bucket are compared with all its texts and leave it. What is left of a
+    bucket goes on, in more parts, unless it is all in one component. So in the end every two
+    texts of a bucket whose lengths allow it were compared, or are in one component anyway.
     """
     texts = texts.where(F.col("_text").isNotNull())
     sketched = in_small_batches(texts.select("_key", "_text")).mapInArrow(
@@ -36,32 +57,52 @@ def near_pairs(texts: DataFrame, similarity: float = SIMILARITY, k: int = RUN, p
         "_key binary, _words bigint, _sketch array<bigint>")
     values = materialize(
         sketched.select("_key", "_words", F.explode("_sketch").alias("_value")).distinct(), "sketches")
-    member = F.struct("_key", "_words")
-    ends = materialize(values.groupBy("_value").agg(F.count(F.lit(1)).alias("_n"),
-                                                    F.min(member).alias("_low"), F.max(member).alias("_high"))
-                       .where(F.col("_n") > 1).select("_value", "_low", "_high"), "sketch_ends")
-    linked = values.join(ends, "_value")
-    linked = linked.select("_key", "_words", F.explode(F.array("_low", "_high")).alias("_end"))
-    shorter, longer = F.least("_words", "_end._words"), F.greatest("_words", "_end._words")
-    pairs = (linked.where((F.col("_key") != F.col("_end._key"))
-                          & (shorter >= similarity * longer - 1e-9))
-             .select(F.least("_key", "_end._key").alias("a"), F.greatest("_key", "_end._key").alias("b"))
-             .distinct())
-    pairs = materialize(pairs, "near_candidates")
-    involved = materialize(pairs.select("a").unionAll(pairs.select("b")).distinct()
-                           .toDF("_key"), "near_involved")
-    chosen = materialize(semi_join_stored(texts.select("_key", "_text"), involved, "_key")
-                         .dropDuplicates(["_key"]), "near_texts")
-    both = (pairs.join(chosen.select(F.col("_key").alias("b"), F.col("_text").alias("_second")), "b")
-            .join(chosen.select(F.col("_key").alias("a"), F.col("_text").alias("_first")), "a")
-            .select("a", "b", "_first", "_second"))
-    return in_small_batches(both).mapInArrow(partial(aligned_batches, similarity=similarity), "a binary, b binary")
+    rest = values.withColumn("_root", F.col("_key"))
+    member = F.struct("_key", "_words", "_root")
+    parts, roots, compared = 1, None, None
+    while True:
+        part = F.pmod(F.xxhash64("_key"), F.lit(parts))
+        # In the first round a part is a bucket; later buckets have at least two texts.
+        ends = materialize(rest.groupBy("_value", part.alias("_part")).agg(
+            F.count(F.lit(1)).alias("_n"), F.min(member).alias("_low"), F.max(member).alias("_high"))
+            .where(F.lit(parts > 1) | (F.col("_n") > 1)), "sketch_ends")
+        linked = rest.join(ends.select("_value", "_low", "_high"), "_value")
+        linked = linked.select("_key", "_words", "_root", F.explode(F.array("_low", "_high")).alias("_end"))
+        shorter, longer = F.least("_words", "_end._words"), F.greatest("_words", "_end._words")
+        pairs = (linked.where((F.col("_root") != F.col("_end._root"))
+                              & (shorter >= similarity * longer - 1e-9))
+                 .select(F.least("_key", "_end._key").alias("a"), F.greatest("_key", "_end._key").alias("b"))
+                 .distinct())
+        if compared is not None:
+            pairs = pairs.join(compared, ["a", "b"], "left_anti")
+        pairs = materialize(pairs, "near_candidates")
+        compared = pairs if compared is None else compared.unionAll(pairs)
+        near = _near(texts, pairs, similarity)
+        if roots is None:
+            roots = materialize(components(near), "near_components")
+        elif not near.isEmpty():
+            before = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+            roots = materialize(components(before.unionAll(near)), "near_components")
+        inner = ends.where(F.col("_n") > (3 if parts == 1 else 2)).select(
+            "_value", "_part", F.col("_low._key").alias("_least"), F.col("_high._key").alias("_most"))
+        rest = (rest.select("_key", "_words", "_value", part.alias("_part")).join(inner, ["_value", "_part"])
+                .where((F.col("_key") != F.col("_least")) & (F.col("_key") != F.col("_most")))
+                .select("_key", "_words", "_value"))
+        known = roots.select(F.col("node").alias("_key"), F.col("root").alias("_root"))
+        rest = materialize(rest.join(known, "_key", "left").select(
+            "_key", "_words", "_value", F.coalesce("_root", "_key").alias("_root")), "near_rest")
+        mixed = materialize(rest.groupBy("_value").agg(F.min("_root").alias("_one"), F.max("_root").alias("_other"))
+                            .where(F.col("_one") != F.col("_other")).select("_value"), "near_mixed")
+        if mixed.isEmpty():
+            return roots
+        rest = materialize(semi_join_stored(rest, mixed, "_value"), "near_rest")
+        parts *= MORE_PARTS
 
 
 def _classes(base: DataFrame, text: str, ident: str, **how) -> DataFrame:
     """Stored (_key, _root, _id): each text with the root text of its class and its smallest id."""
-    edges = near_pairs(base.select("_key", F.col(text).alias("_text")), **how)
-    roots = components(edges).select(F.col("node").alias("_key"), F.col("root").alias("_root"))
+    roots = near_roots(base.select("_key", F.col(text).alias("_text")), **how)
+    roots = roots.select(F.col("node").alias("_key"), F.col("root").alias("_root"))
     texts = base.where(F.col("_key").isNotNull()).groupBy("_key").agg(F.min(ident).alias("_id"))
     return materialize(texts.join(roots, "_key", "left")
                        .withColumn("_root", F.coalesce("_root", "_key")), "near_roots")
@@ -74,7 +115,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", ident: str = "doc_id",
     only in what lies between words, or in the case of A-Z, are near. A NULL text is a class of
     its own row, an empty text is like other empty texts, a text of fewer than ``k`` words is
     one run. The class id is NULL if all ids of the class are. ``how`` are the parameters of
-    ``near_pairs``. Of an empty table the result is empty.
+    ``near_roots``. Of an empty table the result is empty.
     """
     packed = Packed(docs)
     ident, text = packed.named(ident), packed.named(text)

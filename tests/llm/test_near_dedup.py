@@ -1,8 +1,11 @@
 import random
 
+import numpy as np
+
 from tablewarden.llm.components import components
 from tablewarden.llm.near_dedup import deduplicate, near_duplicates
-from tablewarden.llm.sketches import aligned_distance, allowed_edits, words_of
+from tablewarden.llm.near_dedup import PICKS, RUN, SKETCHES
+from tablewarden.llm.sketches import aligned_distance, allowed_edits, order_sketches, words_of
 from tests.llm.conftest import SMALL
 
 
@@ -92,6 +95,46 @@ def test_a_large_group_of_near_copies_is_one_class(spark):
     assert [r["doc_id"] for r in deduplicate(df).collect()] == [0]
 
 
+def classes_by_shared_sketches(rows):
+    """All pairs that share a sketch value are aligned; the texts are distinct and have words."""
+    cut = [words_of(t.encode()) for _, t in rows]
+    ends = np.cumsum([0] + [len(t.encode()) for _, t in rows])
+    data = np.frombuffer("".join(t for _, t in rows).encode(), np.uint8)
+    values = [set(v) for v in order_sketches(data, ends, RUN, PICKS, SKETCHES)[2].tolist()]
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for i in range(len(rows)):
+        for j in range(i):
+            limit = allowed_edits(max(len(cut[i]), len(cut[j])), 0.8)
+            if find(i) != find(j) and values[i] & values[j] and aligned_distance(cut[i], cut[j], limit) is not None:
+                parent[find(i)] = find(j)
+    groups = {}
+    for k, (i, _) in enumerate(rows):
+        groups.setdefault(find(k), []).append(i)
+    return sorted(sorted(g) for g in groups.values())
+
+
+def test_a_star_of_variants_that_are_not_near_each_other(spark):
+    rng = random.Random(5)
+    base = [f"b{i}" for i in range(200)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 301):
+        variant = list(base)
+        for at in rng.sample(range(200), 30):
+            variant[at] = f"x{i}y{at}"
+        rows.append((i, " ".join(variant)))
+    # Of quite another length, so that an end of a bucket may have no partner.
+    rows += [(400 + i, " ".join(base[:60 + 4 * i] + [f"z{i}y{at}" for at in range(500)])) for i in range(30)]
+    want = classes_by_shared_sketches(rows)
+    assert max(map(len, want)) > 240
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    assert grouped(near_duplicates(df).collect()) == want
+
+
 def test_odd_documents_and_empty_tables(spark, odd, empty):
     rows = near_duplicates(odd).collect()
     assert sorted(((r["doc_id"], r["class_id"]) for r in rows), key=repr) == sorted(
