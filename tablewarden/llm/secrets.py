@@ -24,7 +24,11 @@ LEAST_VALUE = 6
 # A run is as long as it can be, so asking for the length in the pattern finds the same runs.
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
-TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
+# '=' is padding only where no character of a token follows.
+_PADDING = r"(?:={1,2}(?![A-Za-z0-9+/_=-]))?"
+TOKEN = r"[A-Za-z0-9+/_-]{20,}" + _PADDING
+# A token with marks of both base64 alphabets is in none; these parts of it are.
+PARTS = [r"[A-Za-z0-9_-]{20,}" + _PADDING, r"[A-Za-z0-9+/]{20,}" + _PADDING, r"[A-Za-z0-9]{20,}" + _PADDING]
 KINDS = ["assign", "access", "hex", "random"]
 
 # The alphabets, narrow ones first. Padding is not part of them.
@@ -78,9 +82,20 @@ def base_spans(text: Column) -> Column:
     return F.concat(assign, _matches(text, ACCESS, 1), _matches(text, HEX, 2))
 
 
+def _parts(token: Column) -> Column:
+    """The long parts of a token of no alphabet, each in the places of the text."""
+    found = F.array_distinct(F.concat(*[_matches(token["token"], p, 3) for p in PARTS]))
+    return F.transform(found, lambda s: F.struct(
+        (s["start"] + token["start"]).alias("start"), s["kind"].alias("kind"),
+        (s["stop"] + token["start"]).alias("stop"), s["token"].alias("token")))
+
+
 def candidates(text: Column) -> Column:
-    """Long tokens that have a digit and a letter."""
-    return F.filter(_matches(text, TOKEN, 3),
+    """Long tokens, or their long parts, that have a digit and a letter."""
+    def cut(tokens: Column) -> Column:
+        return F.flatten(F.transform(tokens, lambda s: F.when(
+            s["token"].rlike("[_-]") & s["token"].rlike("[+/]"), _parts(s)).otherwise(F.array(s))))
+    return F.filter(let(_matches(text, TOKEN, 3), cut),
                     lambda s: s["token"].rlike("[0-9]") & s["token"].rlike("[A-Za-z]"))
 
 
@@ -178,6 +193,10 @@ def scan(docs: DataFrame, text: str = "text", rate: float = FALSE_REJECTIONS) ->
     fixed = F.filter("_all", lambda s: s["kind"] < 3)
     chosen = let(fixed, lambda known: F.filter("_all", lambda s: (s["kind"] < 3) | ~F.exists(
         known, lambda k: (k["start"] < s["stop"]) & (s["start"] < k["stop"]))))
+    # Of the parts of one token, those inside another one add nothing.
+    chosen = let(chosen, lambda all_: F.filter(all_, lambda s: (s["kind"] < 3) | ~F.exists(
+        all_, lambda o: (o["kind"] == 3) & (o["start"] <= s["start"]) & (s["stop"] <= o["stop"])
+        & (o["stop"] - o["start"] > s["stop"] - s["start"]))))
     names = F.array(*[F.lit(k) for k in KINDS])
     named = F.transform(chosen, lambda s: F.struct(
         s["start"].alias("start"), s["stop"].alias("stop"), F.get(names, s["kind"]).alias("kind")))
