@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewarden.llm.common import Packed, materialize, text_key
+from tablewarden.llm.common import Packed, let, materialize, text_key
 
 # Sentences of public licences and notices, as they are written, each up to where
 # ``ENDS`` ends it.
@@ -110,9 +110,10 @@ RULES = [
     ("proprietary", ("reserved",)),
 ]
 
-# Sentences end with a stop before a blank, with a colon or stop at the end of a line, or with a line
-# break; a licence sentence that is wrapped over lines is not known unless it is joined first.
+# Pieces end with a stop before a blank, with a colon or stop at the end of a line, or with a line
+# break. A sentence is a piece, or pieces of one paragraph joined over the line breaks between them.
 ENDS = r"(?<=[.!?:])[ \t\r\n\f]+|[\r\n]+"
+BLANK_LINE = r"\n[\r\n]|\r\r|\r\n\r"
 
 
 def normalised(sentence: Column) -> Column:
@@ -127,24 +128,67 @@ KNOWN = {_plain(s): name for name, s in SENTENCES.items()}
 _LONGEST = max(map(len, SENTENCES.values()))
 
 
+_WORDS = max(len(k.split()) for k in KNOWN)
+
+
+def _pieces(text: Column) -> Column:
+    """(plain, last) of all pieces; ``last`` if no sentence goes on after it."""
+    # No known sentence is longer than this even when every mark in it is doubled.
+    return F.zip_with(F.split(text, ENDS, -1), F.regexp_extract_all(text, F.lit(ENDS), F.lit(0)), lambda p, end: F.struct(
+        F.when(F.length(p) <= 2 * _LONGEST, normalised(p)).otherwise("").alias("plain"),
+        (end.isNull() | p.rlike("[.!?:]$") | end.rlike(BLANK_LINE)).alias("last")))
+
+
+def known_sentences(text: Column) -> Column:
+    """(place, plain) of the known sentences; the place is that of the first piece.
+
+    The pieces after one that begins a known sentence are joined to it while they still do, and
+    the longest sentence counts. A line of marks only is a blank line.
+    """
+    known = F.array(*[F.lit(k) for k in KNOWN])
+
+    def begins(plain: Column) -> Column:
+        return (plain != "") & F.exists(known, lambda k: F.startswith(F.concat(k, F.lit(" ")), F.concat(plain, F.lit(" "))))
+
+    def joined(pieces: Column, place: Column) -> Column:
+        start = F.struct(F.lit("").alias("sofar"), F.lit(True).alias("open"), F.lit(None).cast("string").alias("best"))
+
+        def step(s: Column, p: Column) -> Column:
+            longer = F.when(s["sofar"] == "", p["plain"]).otherwise(F.concat(s["sofar"], F.lit(" "), p["plain"]))
+            more = let(longer, lambda t: F.struct(
+                t.alias("sofar"), (~p["last"] & begins(t)).alias("open"),
+                F.when(F.array_contains(known, t), t).otherwise(s["best"]).alias("best")))
+            closed = F.struct(s["sofar"].alias("sofar"), F.lit(False).alias("open"), s["best"].alias("best"))
+            return F.when(s["open"] & (p["plain"] != ""), more).otherwise(closed)
+        best = F.aggregate(F.slice(pieces, place + 1, F.lit(_WORDS)), start, step, lambda s: s["best"])
+        return F.struct(place.alias("place"), best.alias("plain"))
+
+    def found(pieces: Column) -> Column:
+        placed = F.transform(pieces, lambda p, i: F.when(begins(p["plain"]), i))
+        starts = F.filter(placed, lambda i: i.isNotNull())
+        return F.filter(F.transform(starts, lambda i: joined(pieces, i)), lambda s: s["plain"].isNotNull())
+    return let(_pieces(text), found)
+
+
 def recognise(docs: DataFrame, text: str = "text") -> DataFrame:
     """Add ``licenses`` and ``license_sentences`` to each document.
 
-    ``license_sentences`` has the place (from 0, among all sentences) and the identifier of every
-    known sentence, in order; ``licenses`` the distinct licences whose rules match, sorted. Both are
-    empty for texts without known sentences, and for NULL and empty texts. Copies of a text are
-    matched once.
+    ``license_sentences`` has the place (from 0, among all pieces between ``ENDS``) and the identifier
+    of every known sentence, in order, also of those that are wrapped over lines, with comment marks
+    or without; ``licenses`` the distinct licences whose rules match, sorted. Both are empty for texts
+    without known sentences, and for NULL and empty texts. Copies of a text are matched once.
     """
     spark = docs.sparkSession
     packed = Packed(docs)
     text = packed.named(text)
     base = packed.df.withColumn("_key", text_key(text))
-    sentences = base.where(F.col("_key").isNotNull()).select(
-        "_key", F.posexplode(F.split(text, ENDS)).alias("_place", "_sentence"))
+    # A text whose words do not have those of a known sentence in a row does not have it at all.
+    words = F.concat(F.lit(" "), normalised(F.col(text)), F.lit(" "))
+    likely = let(words, lambda t: F.exists(F.array(*[F.lit(f" {k} ") for k in KNOWN]), lambda k: F.contains(t, k)))
+    sentences = F.explode(F.when(likely, known_sentences(F.col(text)))).alias("_s")
     known = spark.createDataFrame(list(KNOWN.items()), "_plain string, _name string")
-    # No known sentence is longer than this even when every mark in it is doubled.
-    short = sentences.where(F.length("_sentence") <= 2 * _LONGEST)
-    found = (short.select("_key", "_place", normalised(F.col("_sentence")).alias("_plain"))
+    found = (base.where(F.col("_key").isNotNull()).select("_key", sentences)
+             .select("_key", F.col("_s.place").alias("_place"), F.col("_s.plain").alias("_plain"))
              .join(F.broadcast(known), "_plain")  # the fixed table above
              .select("_key", "_place", "_name").distinct())
     grouped = found.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct(
