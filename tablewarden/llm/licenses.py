@@ -125,7 +125,6 @@ def _plain(sentence: str) -> str:
 
 
 KNOWN = {_plain(s): name for name, s in SENTENCES.items()}
-_LONGEST = max(map(len, SENTENCES.values()))
 
 
 _WORDS = max(len(k.split()) for k in KNOWN)
@@ -133,9 +132,8 @@ _WORDS = max(len(k.split()) for k in KNOWN)
 
 def _pieces(text: Column) -> Column:
     """(plain, last) of all pieces; ``last`` if no sentence goes on after it."""
-    # No known sentence is longer than this even when every mark in it is doubled.
     return F.zip_with(F.split(text, ENDS, -1), F.regexp_extract_all(text, F.lit(ENDS), F.lit(0)), lambda p, end: F.struct(
-        F.when(F.length(p) <= 2 * _LONGEST, normalised(p)).otherwise("").alias("plain"),
+        normalised(p).alias("plain"),
         (end.isNull() | p.rlike("[.!?:]$") | end.rlike(BLANK_LINE)).alias("last")))
 
 

@@ -50,6 +50,11 @@ def test_sentences_wrapped_over_lines(spark):
     assert got[11] == (["ISC"], [(1, "isc-grant")])
 
 
+def test_a_sentence_behind_very_many_marks(spark):
+    got = found(spark, ["=" * 5000 + " " + SENTENCES["mit-short"], "Licensed" + " " * 3000 + "under CC BY 4.0."])
+    assert got == {0: (["MIT"], [(0, "mit-short")]), 1: (["CC-BY-4.0"], [(0, "cc-by")])}
+
+
 def test_every_rule_can_match(spark):
     got = found(spark, ["\n".join(SENTENCES[x] for x in ids) for _, ids in RULES])
     assert [got[i][0] for i in range(len(RULES))] == [[name] for name, _ in RULES]
