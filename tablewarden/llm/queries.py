@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewarden.llm import (
-    bpe, chat, decontamination, fingerprints, licenses, near_dedup, quality, secrets, toxicity, warc)
+    bpe, chat, decontamination, fingerprints, licenses, near_dedup, quality, secrets, token_ids, toxicity, warc)
 from tablewarden.llm.common import let
 from tablewarden.llm.training import held_out, training_rows
 from tablewarden.sources.tables import read_table
@@ -220,3 +220,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.recognise(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.array_join("licenses", ",").alias("licenses"),
                         F.size("license_sentences").cast("bigint").alias("n_sentences"))
+
+
+@query()
+def op11_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    folder = token_ids.write_ids(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_ids.read_ids(spark, folder).select(
+        F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
