@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewarden.llm import (
-    bpe, chat, decontamination, fingerprints, licenses, near_dedup, quality, secrets, token_ids, toxicity, warc)
+    bpe, centroids, chat, decontamination, fingerprints, licenses, near_dedup, quality, secrets, token_ids, toxicity, warc)
 from tablewarden.llm.common import let
 from tablewarden.llm.training import held_out, training_rows
 from tablewarden.sources.tables import read_table
@@ -228,3 +228,31 @@ def op11_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = token_ids.write_ids(docs, public_tokenizers.path("byte_bpe_50k.json"))
     return token_ids.read_ids(spark, folder).select(
         F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def _op13_sql(rounds: int = 3) -> str:
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""d{r} AS MATERIALIZED (SELECT rid, c, d FROM (SELECT rid, c, d, row_number() OVER (PARTITION BY rid ORDER BY d, c) AS place
+    FROM (SELECT rid, c, CAST(list_sum(list_transform(list_zip(k.q, c{r}.q), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d
+          FROM k, c{r})) WHERE place = 1)""")
+        if r < rounds:
+            steps.append(f"""m{r} AS (SELECT c, list(m ORDER BY j) AS q FROM (SELECT c, j, CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS m
+    FROM d{r} JOIN parts USING (rid) GROUP BY c, j) GROUP BY c),
+c{r + 1} AS MATERIALIZED (SELECT c, coalesce(m{r}.q, c{r}.q) AS q FROM c{r} LEFT JOIN m{r} USING (c))""")
+    return """
+WITH k AS MATERIALIZED (SELECT vec_id, row_number() OVER () AS rid,
+           list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+      WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (SELECT rid, unnest(q) AS x, unnest(range(64)) AS j FROM k),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS c, q FROM k ORDER BY c LIMIT 16),
+""" + ",\n".join(steps) + f"""
+SELECT k.vec_id, CAST(d.c AS INTEGER) AS cluster, d.d AS distance, CAST(sum(d.d) OVER (PARTITION BY d.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.q, ',')) AS centroid_sha256
+FROM k JOIN d{rounds} d ON d.rid = k.rid JOIN c{rounds} c ON c.c = d.c
+"""
+
+
+@query(_op13_sql())
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(read_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
