@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewarden.llm import (
-    bpe, centroids, chat, decontamination, fingerprints, licenses, near_dedup, quality, secrets, token_ids, toxicity, warc)
+    bpe, centroids, chat, decontamination, fingerprints, licenses, near_dedup, quality, repair,
+    secrets, token_ids, toxicity, warc)
 from tablewarden.llm.common import let
 from tablewarden.llm.training import held_out, training_rows
 from tablewarden.sources.tables import read_table
@@ -256,3 +257,9 @@ FROM k JOIN d{rounds} d ON d.rid = k.rid JOIN c{rounds} c ON c.c = d.c
 @query(_op13_sql())
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.clusters(read_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+@query()
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations")
+    return repair.repaired(turns, repair.damage(turns))
