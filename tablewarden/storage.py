@@ -46,7 +46,21 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove tables that ``materialize`` returned and that nothing reads any more."""
+    for table in tables:
+        _made.remove(table.stored_at)
+        _delete(table.sparkSession, table.stored_at)
 
 
 def discard(spark: SparkSession) -> None:
@@ -56,5 +70,4 @@ def discard(spark: SparkSession) -> None:
     operators, after a result has been written; paths of other processes are not touched.
     """
     while _made:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_made.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, _made.pop())
