@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewarden.llm.common import materialize
+from tablewarden.storage import release
 
 
 def _stars(edges: DataFrame) -> DataFrame:
@@ -22,11 +23,14 @@ def _stars(edges: DataFrame) -> DataFrame:
              .select(F.col("b").alias("a"), F.col("m").alias("b")))
     # Every edge of ``large`` points from the larger node to the smaller one.
     large = materialize(large.where(F.col("a") != F.col("b")).distinct(), "edges_large")
+    release(both, least)
     least = materialize(large.groupBy("a").agg(F.min("b").alias("m")), "edges_least")
     small = (large.join(least, "a").where(F.col("b") != F.col("m"))
              .select(F.col("b").alias("a"), F.col("m").alias("b")))
     small = small.unionAll(least.select("a", F.col("m").alias("b")))
-    return materialize(small.distinct(), "edges_small")
+    small = materialize(small.distinct(), "edges_small")
+    release(large, least)
+    return small
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -46,7 +50,9 @@ def components(edges: DataFrame) -> DataFrame:
                         .distinct(), "edges")
     mark = _mark(edges)
     while mark[0]:
-        edges = _stars(edges)
+        last = edges
+        edges = _stars(last)
+        release(last)
         before, mark = mark, _mark(edges)
         if before == mark:
             break

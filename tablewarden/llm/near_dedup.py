@@ -3,27 +3,35 @@
 The similarity of two texts is one minus their edit distance in words over the longer one's
 words. A sketch value takes the few occurrence-labelled runs of ``k`` words with the smallest
 hashes and keeps them in text order, so equal values speak for shared words in a shared order.
-Texts with an equal value are compared with the smallest and with the largest text that has it,
-then, in rounds, with ever more of those that are not in one component yet; alignment decides.
-Classes are the connected components of what remains.
+Texts with an equal value are candidates, and alignment decides; where very many unlike texts have a
+value, its candidates are those that share rare runs. Classes are the connected components.
+
+Which texts are found: two that share 0.8 or more of their runs of five words miss all sketches with
+a chance below 1e-13. Texts that are near by alignment but share fewer runs, because their edits are spread
+out, are found less often: with 0.5 a chance of 1e-4 is missed, with 0.25 one in eight, and texts that
+share no run, such as five words with the middle one changed, are never found.
 """
 
 from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewarden.llm.common import Packed, in_small_batches, materialize, semi_join_stored, text_key
 from tablewarden.llm.components import components
-from tablewarden.llm.sketches import aligned_batches, sketch_batches
+from tablewarden.llm.sketches import aligned_batches, run_batches, sketch_batches
+from tablewarden.operators.lookup import broadcast_if_small
+from tablewarden.storage import release
 
 SIMILARITY = 0.8
 RUN = 5
 PICKS = 2
 SKETCHES = 32
-# A bucket is cut into so many times more parts in each round.
+# Texts of a sketch value up to which every two of them are compared.
+BUCKET = 128
+# What is left of a value is cut into so many times more parts in each round.
 MORE_PARTS = 8
 
 
@@ -36,20 +44,125 @@ def _near(texts: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     both = (pairs.join(chosen.select(F.col("_key").alias("b"), F.col("_text").alias("_second")), "b")
             .join(chosen.select(F.col("_key").alias("a"), F.col("_text").alias("_first")), "a")
             .select("a", "b", "_first", "_second"))
-    return materialize(in_small_batches(both).mapInArrow(
+    near = materialize(in_small_batches(both).mapInArrow(
         partial(aligned_batches, similarity=similarity), "a binary, b binary"), "near_pairs")
+    release(involved, chosen)
+    return near
+
+
+def _candidates(members: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) of every two texts of ``members`` (_key, _words, _value, _root) with a value in common.
+
+    Texts of one root are linked anyway, and lengths rule out some pairs; neither become rows.
+    """
+    one = members.select("_value", *[F.col(c).alias(f"{c}_one") for c in ("_key", "_words", "_root")])
+    two = members.select("_value", *[F.col(c).alias(f"{c}_two") for c in ("_key", "_words", "_root")])
+    shorter = F.least("_words_one", "_words_two")
+    joined = one.alias("o").join(two.alias("t"), (F.col("o._value") == F.col("t._value"))
+                                 & (F.col("_root_one") < F.col("_root_two"))
+                                 & (shorter >= similarity * F.greatest("_words_one", "_words_two") - 1e-9))
+    return joined.select(F.least("_key_one", "_key_two").alias("a"), F.greatest("_key_one", "_key_two").alias("b"))
+
+
+def _join_roots(members: DataFrame, roots: DataFrame) -> DataFrame:
+    known = roots.select(F.col("node").alias("_key"), F.col("root").alias("_root"))
+    return members.join(known, "_key", "left").withColumn("_root", F.coalesce("_root", "_key"))
+
+
+def _mixed(members: DataFrame) -> DataFrame:
+    """Stored (_value, _n) of the values whose texts are in more than one component."""
+    return materialize(members.groupBy("_value").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_root").alias("_one"), F.max("_root").alias("_other"))
+        .where(F.col("_one") != F.col("_other")).select("_value", "_n"), "near_mixed")
+
+
+class _Links:
+    """The components so far, and the pairs that were compared for them."""
+
+    def __init__(self, texts: DataFrame, similarity: float):
+        self.texts, self.similarity = texts, similarity
+        self.roots, self.compared = None, None
+
+    def compare(self, pairs: DataFrame) -> None:
+        pairs = pairs.distinct()
+        if self.compared is not None:
+            pairs = pairs.join(self.compared, ["a", "b"], "left_anti")
+        pairs = materialize(pairs, "near_candidates")
+        self.compared = pairs if self.compared is None else self.compared.unionAll(pairs)
+        near = _near(self.texts, pairs, self.similarity)
+        if self.roots is None:
+            self.roots = materialize(components(near), "near_components")
+        elif not near.isEmpty():
+            before, edges = self.roots, self.roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+            self.roots = materialize(components(edges.unionAll(near)), "near_components")
+            release(before)
+        release(near)
+
+
+def _ends_first(links: _Links, members: DataFrame, parts: int) -> DataFrame:
+    """Compare the texts of each value with the smallest and the largest of each of its parts.
+
+    Returns the stored members of values that are not all in one component yet, without those ends.
+    """
+    part = F.pmod(F.xxhash64("_key"), F.lit(parts))
+    member = F.struct("_key", "_words", "_root")
+    ends = materialize(members.groupBy("_value", part.alias("_part")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(member).alias("_low"), F.max(member).alias("_high"))
+        .where(F.lit(parts > 1) | (F.col("_n") > 1)), "sketch_ends")
+    linked = members.join(ends.select("_value", "_low", "_high"), "_value")
+    linked = linked.select("_key", "_words", "_root", F.explode(F.array("_low", "_high")).alias("_end"))
+    shorter, longer = F.least("_words", "_end._words"), F.greatest("_words", "_end._words")
+    links.compare(linked.where((F.col("_root") != F.col("_end._root"))
+                               & (shorter >= links.similarity * longer - 1e-9))
+                  .select(F.least("_key", "_end._key").alias("a"), F.greatest("_key", "_end._key").alias("b")))
+    inner = ends.where(F.col("_n") > (3 if parts == 1 else 2)).select(
+        "_value", "_part", F.col("_low._key").alias("_least"), F.col("_high._key").alias("_most"))
+    rest = (members.select("_key", "_words", "_value", part.alias("_part")).join(inner, ["_value", "_part"])
+            .where((F.col("_key") != F.col("_least")) & (F.col("_key") != F.col("_most")))
+            .select("_key", "_words", "_value"))
+    rest = materialize(_join_roots(rest, links.roots), "near_rest")
+    mixed = _mixed(rest)
+    kept = materialize(rest.join(broadcast_if_small(mixed), "_value"), "near_rest")
+    release(ends, rest, mixed)
+    return kept
+
+
+def _rare_runs_first(links: _Links, texts: DataFrame, hot: DataFrame, k: int, limit: int) -> DataFrame:
+    """Stored (_key, _words, _value, _root, _common): runs, some of which near texts have in common.
+
+    ``hot`` has the keys of the texts in question. Their runs are put in one order, in which those
+    that more than ``limit`` of the texts have come last. Two texts with n runs each at most that share a
+    share of t of all their runs have one of them among the first n - ceil(t n) + 1 of either.
+    """
+    chosen = semi_join_stored(texts.select("_key", "_text"), hot, "_key").dropDuplicates(["_key"])
+    runs = in_small_batches(chosen).mapInArrow(partial(run_batches, k=k),
+                                               "_key binary, _words bigint, _runs array<bigint>")
+    runs = materialize(runs.select("_key", "_words", F.size("_runs").alias("_n"), F.explode("_runs").alias("_value")),
+                       "hot_runs")
+    common = materialize(runs.groupBy("_value").agg(F.count(F.lit(1)).alias("_texts"))
+                         .where(F.col("_texts") > limit).select("_value", F.lit(True).alias("_common")), "common_runs")
+    place = Window.partitionBy("_key").orderBy("_common", "_value")
+    first = runs.join(broadcast_if_small(common), "_value", "left").withColumn(
+        "_common", F.coalesce("_common", F.lit(False))).withColumn("_place", F.row_number().over(place))
+    first = first.where(F.col("_place") <= F.col("_n") - F.ceil(F.col("_n") * links.similarity - 1e-9) + 1)
+    first = materialize(_join_roots(first.select("_key", "_words", "_value", "_common"), links.roots), "first_runs")
+    release(runs, common)
+    return first
 
 
 def near_roots(texts: DataFrame, similarity: float = SIMILARITY, k: int = RUN, picks: int = PICKS,
-               sketches: int = SKETCHES) -> DataFrame:
+               sketches: int = SKETCHES, bucket: int = BUCKET) -> DataFrame:
     """(node, root) of the texts that are near another; ``texts`` has ``_key`` and ``_text``.
 
     A text may be there many times; it is sketched each time and counted once.
 
-    The texts of a sketch value are its bucket. In each round the smallest and the largest text
-    of every part of a bucket are compared with all its texts and leave it. What is left of a
-    bucket goes on, in more parts, unless it is all in one component. So in the end every two
-    texts of a bucket whose lengths allow it were compared, or are in one component anyway.
+    The texts of a sketch value are its bucket. First all texts of a bucket are compared with its
+    smallest and its largest text. Then, in buckets of at most ``bucket`` texts that are not in one
+    component yet, every two are. A larger one stems from a passage that many unlike texts have; its
+    texts are compared when they share a rare one of their first runs, which is exact for texts
+    that share ``similarity`` of their runs. Texts whose first runs reach into common ones are made of
+    common passages almost wholly; those that share such a run are compared in rounds, each of which
+    takes out the ends of more and smaller parts, until all that remain are in one component.
     """
     texts = texts.where(F.col("_text").isNotNull())
     sketched = in_small_batches(texts.select("_key", "_text")).mapInArrow(
@@ -57,46 +170,24 @@ def near_roots(texts: DataFrame, similarity: float = SIMILARITY, k: int = RUN, p
         "_key binary, _words bigint, _sketch array<bigint>")
     values = materialize(
         sketched.select("_key", "_words", F.explode("_sketch").alias("_value")).distinct(), "sketches")
-    rest = values.withColumn("_root", F.col("_key"))
-    member = F.struct("_key", "_words", "_root")
-    parts, roots, compared = 1, None, None
-    while True:
-        part = F.pmod(F.xxhash64("_key"), F.lit(parts))
-        # In the first round a part is a bucket; later buckets have at least two texts.
-        ends = materialize(rest.groupBy("_value", part.alias("_part")).agg(
-            F.count(F.lit(1)).alias("_n"), F.min(member).alias("_low"), F.max(member).alias("_high"))
-            .where(F.lit(parts > 1) | (F.col("_n") > 1)), "sketch_ends")
-        linked = rest.join(ends.select("_value", "_low", "_high"), "_value")
-        linked = linked.select("_key", "_words", "_root", F.explode(F.array("_low", "_high")).alias("_end"))
-        shorter, longer = F.least("_words", "_end._words"), F.greatest("_words", "_end._words")
-        pairs = (linked.where((F.col("_root") != F.col("_end._root"))
-                              & (shorter >= similarity * longer - 1e-9))
-                 .select(F.least("_key", "_end._key").alias("a"), F.greatest("_key", "_end._key").alias("b"))
-                 .distinct())
-        if compared is not None:
-            pairs = pairs.join(compared, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "near_candidates")
-        compared = pairs if compared is None else compared.unionAll(pairs)
-        near = _near(texts, pairs, similarity)
-        if roots is None:
-            roots = materialize(components(near), "near_components")
-        elif not near.isEmpty():
-            before = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-            roots = materialize(components(before.unionAll(near)), "near_components")
-        inner = ends.where(F.col("_n") > (3 if parts == 1 else 2)).select(
-            "_value", "_part", F.col("_low._key").alias("_least"), F.col("_high._key").alias("_most"))
-        rest = (rest.select("_key", "_words", "_value", part.alias("_part")).join(inner, ["_value", "_part"])
-                .where((F.col("_key") != F.col("_least")) & (F.col("_key") != F.col("_most")))
-                .select("_key", "_words", "_value"))
-        known = roots.select(F.col("node").alias("_key"), F.col("root").alias("_root"))
-        rest = materialize(rest.join(known, "_key", "left").select(
-            "_key", "_words", "_value", F.coalesce("_root", "_key").alias("_root")), "near_rest")
-        mixed = materialize(rest.groupBy("_value").agg(F.min("_root").alias("_one"), F.max("_root").alias("_other"))
-                            .where(F.col("_one") != F.col("_other")).select("_value"), "near_mixed")
-        if mixed.isEmpty():
-            return roots
-        rest = materialize(semi_join_stored(rest, mixed, "_value"), "near_rest")
+    links = _Links(texts, similarity)
+    rest = _ends_first(links, values.withColumn("_root", F.col("_key")), 1)
+    release(values)
+    pairs = _candidates(rest.where(F.col("_n") <= bucket), similarity)
+    large = rest.where(F.col("_n") > bucket)
+    if large.isEmpty():
+        links.compare(pairs)
+        return links.roots
+    hot = materialize(large.select("_key").distinct(), "hot_texts")
+    first = _rare_runs_first(links, texts, hot, k, bucket)
+    links.compare(pairs.unionAll(_candidates(first.where(~F.col("_common")), similarity)))
+    rest = materialize(_join_roots(first.where("_common").select("_key", "_words", "_value"), links.roots), "near_rest")
+    release(first)
+    parts = 1
+    while not _mixed(rest).isEmpty():
+        rest = _ends_first(links, rest.select("_key", "_words", "_value", "_root"), parts)
         parts *= MORE_PARTS
+    return links.roots
 
 
 def _classes(base: DataFrame, text: str, ident: str, **how) -> DataFrame:

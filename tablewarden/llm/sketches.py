@@ -117,25 +117,45 @@ def order_sketches(data: np.ndarray, offsets: np.ndarray, k: int, picks: int, sk
     return texts, words[texts], out
 
 
+def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """(keys, bytes, offsets) of the texts of a batch, in pieces of bounded size."""
+    keys = batch.column(0)
+    text = batch.column(1).cast(pa.large_binary())
+    offsets = np.frombuffer(text.buffers()[1], np.int64)[text.offset:text.offset + len(text) + 1]
+    data = np.frombuffer(text.buffers()[2], np.uint8) if offsets[-1] else np.zeros(0, np.uint8)
+    at = 0
+    while at < len(text):
+        stop = int(np.searchsorted(offsets, offsets[at] + CHUNK_BYTES, "right")) - 1
+        stop = min(max(stop, at + 1), len(text))
+        own = offsets[at:stop + 1]
+        yield keys.slice(at, stop - at), data[own[0]:own[-1]], own - own[0]
+        at = stop
+
+
 def sketch_batches(batches: Iterator[pa.RecordBatch], k: int, picks: int, sketches: int
                    ) -> Iterator[pa.RecordBatch]:
     """(key, text) in; (key, words, sketch) out for the texts that have words."""
     for batch in batches:
-        keys = batch.column(0)
-        text = batch.column(1).cast(pa.large_binary())
-        offsets = np.frombuffer(text.buffers()[1], np.int64)[text.offset:text.offset + len(text) + 1]
-        data = np.frombuffer(text.buffers()[2], np.uint8) if offsets[-1] else np.zeros(0, np.uint8)
-        at = 0
-        while at < len(text):
-            stop = int(np.searchsorted(offsets, offsets[at] + CHUNK_BYTES, "right")) - 1
-            stop = min(max(stop, at + 1), len(text))
-            own = offsets[at:stop + 1]
-            texts, words, values = order_sketches(data[own[0]:own[-1]], own - own[0], k, picks, sketches)
+        for keys, data, offsets in _chunks(batch):
+            texts, words, values = order_sketches(data, offsets, k, picks, sketches)
             yield pa.RecordBatch.from_arrays([
-                keys.take(pa.array(texts + at)), pa.array(words, pa.int64()),
+                keys.take(pa.array(texts)), pa.array(words, pa.int64()),
                 pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1) * sketches, pa.int32()),
                                          pa.array(values.ravel()))], ["_key", "_words", "_sketch"])
-            at = stop
+
+
+def run_batches(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """(key, text) in; (key, words, all occurrence-labelled runs of k words) out for the texts that have words."""
+    for batch in batches:
+        for keys, data, offsets in _chunks(batch):
+            hashes, words = word_hashes(data, offsets)
+            runs, owner = _kmers(hashes, words, k)
+            texts, starts = np.unique(owner, return_index=True)
+            yield pa.RecordBatch.from_arrays([
+                keys.take(pa.array(texts)), pa.array(words[texts], pa.int64()),
+                pa.LargeListArray.from_arrays(pa.array(np.append(starts, len(owner)), pa.int64()),
+                                              pa.array(runs.view(np.int64))).cast(pa.list_(pa.int64()))],
+                ["_key", "_words", "_runs"])
 
 
 def aligned_distance(a: list, b: list, limit: int) -> int | None:

@@ -83,6 +83,8 @@ def test_planted_copies_chains_and_common_passages(spark):
     rows = [(i, " ".join(d)) for i, d in enumerate(docs)] + [(500, " ".join(docs[0]).upper()), (501, " ".join(docs[7]))]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
     assert grouped(near_duplicates(df).collect()) == classes_by_brute_force(rows)
+    # Where many texts are too many, those that share a passage are told apart by rare runs.
+    assert grouped(near_duplicates(df, bucket=6).collect()) == classes_by_brute_force(rows)
     kept = deduplicate(df)
     assert sorted(r[0] for r in kept.select("doc_id").collect()) == [g[0] for g in classes_by_brute_force(rows)]
 
@@ -95,6 +97,24 @@ def test_a_large_group_of_near_copies_is_one_class(spark):
     assert [r["doc_id"] for r in deduplicate(df).collect()] == [0]
 
 
+def test_texts_of_common_passages_wholly(spark):
+    """Most of each text is passages that many others have; some of them are near and no end shows it."""
+    rng = random.Random(21)
+    passages = [[f"p{i}w{j}" for j in range(30)] for i in range(4)]
+    rows = []
+    for i in range(90):
+        order = rng.sample(range(4), 3)
+        rows.append((i, " ".join(w for p in order for w in passages[p]) + f" own{i % 60} end{i % 60}"))
+    # A few are passages with words of their own that they share in pairs.
+    for i in range(30):
+        rows.append((100 + i, " ".join(passages[0] + [f"q{i // 2}v{j}" for j in range(60)] + [f"only{i}"])))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    want = classes_by_brute_force(rows)
+    assert 15 < len(want) < 60
+    assert grouped(near_duplicates(df).collect()) == want
+    assert grouped(near_duplicates(df, bucket=5).collect()) == want
+
+
 def classes_by_shared_sketches(rows):
     """All pairs that share a sketch value are aligned; the texts are distinct and have words."""
     cut = [words_of(t.encode()) for _, t in rows]
