@@ -9,7 +9,11 @@ from tablewarden.llm.common import materialize
 from tablewarden.storage import release
 
 
-def _stars(edges: DataFrame) -> DataFrame:
+# Edges for a task to work on; fewer edges take fewer tasks.
+TASK_EDGES = 50_000
+
+
+def _stars(edges: DataFrame, tasks: int) -> DataFrame:
     """One large-star and one small-star step; every step keeps the components.
 
     A node of very many neighbours sends its smallest one through a partial aggregate, and
@@ -18,17 +22,17 @@ def _stars(edges: DataFrame) -> DataFrame:
     both = materialize(edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))),
                        "edges_both")
     least = materialize(both.groupBy("a").agg(F.min("b").alias("m"))
-                        .select("a", F.least("a", "m").alias("m")), "edges_least")
+                        .select("a", F.least("a", "m").alias("m")).coalesce(tasks), "edges_least")
     large = (both.where(F.col("b") > F.col("a")).join(least, "a")
              .select(F.col("b").alias("a"), F.col("m").alias("b")))
     # Every edge of ``large`` points from the larger node to the smaller one.
-    large = materialize(large.where(F.col("a") != F.col("b")).distinct(), "edges_large")
+    large = materialize(large.where(F.col("a") != F.col("b")).distinct().coalesce(tasks), "edges_large")
     release(both, least)
-    least = materialize(large.groupBy("a").agg(F.min("b").alias("m")), "edges_least")
+    least = materialize(large.groupBy("a").agg(F.min("b").alias("m")).coalesce(tasks), "edges_least")
     small = (large.join(least, "a").where(F.col("b") != F.col("m"))
              .select(F.col("b").alias("a"), F.col("m").alias("b")))
     small = small.unionAll(least.select("a", F.col("m").alias("b")))
-    small = materialize(small.distinct(), "edges_small")
+    small = materialize(small.distinct().coalesce(tasks), "edges_small")
     release(large, least)
     return small
 
@@ -49,9 +53,10 @@ def components(edges: DataFrame) -> DataFrame:
                         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                         .distinct(), "edges")
     mark = _mark(edges)
+    most = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     while mark[0]:
         last = edges
-        edges = _stars(last)
+        edges = _stars(last, max(8, min(most, mark[0] // TASK_EDGES)))
         release(last)
         before, mark = mark, _mark(edges)
         if before == mark:

@@ -16,12 +16,13 @@ from __future__ import annotations
 
 from functools import partial
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewarden.llm.common import Packed, in_small_batches, materialize, semi_join_stored, text_key
 from tablewarden.llm.components import components
-from tablewarden.llm.sketches import aligned_batches, run_batches, sketch_batches
+from tablewarden.llm.sketches import aligned_batches, first_run_batches, run_batches, sketch_batches
 from tablewarden.operators.lookup import broadcast_if_small
 from tablewarden.storage import release
 
@@ -31,6 +32,8 @@ PICKS = 2
 SKETCHES = 32
 # Texts of a sketch value up to which every two of them are compared.
 BUCKET = 128
+# Size of the common runs up to which every task gets them; more are joined.
+COMMON_BYTES = 8_000_000
 # What is left of a value is cut into so many times more parts in each round.
 MORE_PARTS = 8
 
@@ -93,9 +96,17 @@ class _Links:
         if self.roots is None:
             self.roots = materialize(components(near), "near_components")
         elif not near.isEmpty():
-            before, edges = self.roots, self.roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-            self.roots = materialize(components(edges.unionAll(near)), "near_components")
-            release(before)
+            # Only the roots of the components so far are joined anew.
+            before = self.roots
+            a, b = (before.select(F.col("node").alias(c), F.col("root").alias(f"_{c}")) for c in ("a", "b"))
+            edges = near.join(a, "a", "left").join(b, "b", "left").select(
+                F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))
+            moved = materialize(components(edges), "near_components")
+            old = before.join(moved.select(F.col("node").alias("root"), F.col("root").alias("_new")), "root", "left")
+            old = old.select("node", F.coalesce("_new", "root").alias("root"))
+            alone = moved.join(before, "node", "left_anti")
+            self.roots = materialize(old.unionAll(alone), "near_components")
+            release(before, moved)
         release(near)
 
 
@@ -127,31 +138,39 @@ def _ends_first(links: _Links, members: DataFrame, parts: int) -> DataFrame:
     return kept
 
 
-def _rare_runs_first(links: _Links, texts: DataFrame, hot: DataFrame, k: int, limit: int) -> DataFrame:
+def _rare_runs_first(links: _Links, texts: DataFrame, hot: DataFrame, k: int, limit: int,
+                     max_bytes: int = COMMON_BYTES) -> DataFrame:
     """Stored (_key, _words, _value, _root, _common): runs, some of which near texts have in common.
 
     ``hot`` has the keys of the texts in question. Their runs are put in one order, in which those
     that more than ``limit`` of the texts have come last. Two texts with n runs each at most that share a
     share of t of all their runs have one of them among the first n - ceil(t n) + 1 of either.
     """
-    chosen = semi_join_stored(texts.select("_key", "_text"), hot, "_key").dropDuplicates(["_key"])
+    chosen = materialize(semi_join_stored(texts.select("_key", "_text"), hot, "_key").dropDuplicates(["_key"]),
+                         "hot_texts")
     runs = in_small_batches(chosen).mapInArrow(partial(run_batches, k=k),
                                                "_key binary, _words bigint, _runs array<bigint>")
-    runs = materialize(runs.select("_key", "_words", F.size("_runs").alias("_n"), F.explode("_runs").alias("_value")),
-                       "hot_runs")
-    common = materialize(runs.groupBy("_value").agg(F.count(F.lit(1)).alias("_texts"))
+    each = runs.select("_key", "_words", F.size("_runs").alias("_n"), F.explode("_runs").alias("_value"))
+    common = materialize(each.groupBy("_value").agg(F.count(F.lit(1)).alias("_texts"))
                          .where(F.col("_texts") > limit).select("_value", F.lit(True).alias("_common")), "common_runs")
-    place = Window.partitionBy("_key").orderBy("_common", "_value")
-    first = runs.join(broadcast_if_small(common), "_value", "left").withColumn(
-        "_common", F.coalesce("_common", F.lit(False))).withColumn("_place", F.row_number().over(place))
-    first = first.where(F.col("_place") <= F.col("_n") - F.ceil(F.col("_n") * links.similarity - 1e-9) + 1)
-    first = materialize(_join_roots(first.select("_key", "_words", "_value", "_common"), links.roots), "first_runs")
-    release(runs, common)
+    if 8 * common.count() <= max_bytes:
+        # So few common runs that every task can have them; only first runs become rows then.
+        known = np.sort(np.array([r._value for r in common.select("_value").collect()], np.int64))
+        first = in_small_batches(chosen).mapInArrow(
+            partial(first_run_batches, k=k, common=known, similarity=links.similarity),
+            "_key binary, _words bigint, _value bigint, _common boolean")
+    else:
+        place = Window.partitionBy("_key").orderBy("_common", "_value")
+        first = each.join(common, "_value", "left").withColumn(
+            "_common", F.coalesce("_common", F.lit(False))).withColumn("_place", F.row_number().over(place))
+        first = first.where(F.col("_place") <= F.col("_n") - F.ceil(F.col("_n") * links.similarity - 1e-9) + 1)
+    first = materialize(first.select("_key", "_words", "_value", "_common"), "first_runs")
+    release(chosen, common)
     return first
 
 
 def near_roots(texts: DataFrame, similarity: float = SIMILARITY, k: int = RUN, picks: int = PICKS,
-               sketches: int = SKETCHES, bucket: int = BUCKET) -> DataFrame:
+               sketches: int = SKETCHES, bucket: int = BUCKET, common_bytes: int = COMMON_BYTES) -> DataFrame:
     """(node, root) of the texts that are near another; ``texts`` has ``_key`` and ``_text``.
 
     A text may be there many times; it is sketched each time and counted once.
@@ -179,8 +198,9 @@ def near_roots(texts: DataFrame, similarity: float = SIMILARITY, k: int = RUN, p
         links.compare(pairs)
         return links.roots
     hot = materialize(large.select("_key").distinct(), "hot_texts")
-    first = _rare_runs_first(links, texts, hot, k, bucket)
-    links.compare(pairs.unionAll(_candidates(first.where(~F.col("_common")), similarity)))
+    first = _rare_runs_first(links, texts, hot, k, bucket, common_bytes)
+    rare = _join_roots(first.where(~F.col("_common")).select("_key", "_words", "_value"), links.roots)
+    links.compare(pairs.unionAll(_candidates(materialize(rare, "rare_runs"), similarity)))
     rest = materialize(_join_roots(first.where("_common").select("_key", "_words", "_value"), links.roots), "near_rest")
     release(first)
     parts = 1

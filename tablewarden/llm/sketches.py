@@ -158,6 +158,25 @@ def run_batches(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Record
                 ["_key", "_words", "_runs"])
 
 
+def first_run_batches(batches: Iterator[pa.RecordBatch], k: int, common: np.ndarray, similarity: float
+                      ) -> Iterator[pa.RecordBatch]:
+    """(key, text) in; (key, words, run, whether it is in ``common``) of the first runs of each text out.
+
+    ``common`` is sorted. Common runs come last, otherwise runs are in order of their value.
+    """
+    for batch in run_batches(batches, k):
+        lists = batch.column(2)
+        sizes = np.diff(np.asarray(lists.offsets))
+        runs, owner = np.asarray(lists.flatten()), np.repeat(np.arange(len(sizes)), sizes)
+        known = np.isin(runs, common)
+        order = np.lexsort((runs, known, owner))
+        place = np.arange(len(runs)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        order = order[place < np.repeat(sizes - np.ceil(sizes * similarity - 1e-9).astype(np.int64) + 1, sizes)]
+        at = pa.array(owner[order])
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(runs[order]),
+                                          pa.array(known[order])], ["_key", "_words", "_value", "_common"])
+
+
 def aligned_distance(a: list, b: list, limit: int) -> int | None:
     """Edit distance of two word lists, or None beyond ``limit``.
 

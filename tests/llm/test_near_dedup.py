@@ -113,6 +113,8 @@ def test_texts_of_common_passages_wholly(spark):
     assert 15 < len(want) < 60
     assert grouped(near_duplicates(df).collect()) == want
     assert grouped(near_duplicates(df, bucket=5).collect()) == want
+    # Beyond a size the common runs are joined.
+    assert grouped(near_duplicates(df, bucket=5, common_bytes=0).collect()) == want
 
 
 def classes_by_shared_sketches(rows):
