@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from tablewarden.llm.common import Packed, in_small_batches, materialize, semi_join_stored, text_key
 from tablewarden.llm.components import components
-from tablewarden.llm.sketches import aligned_batches, first_run_batches, run_batches, sketch_batches
+from tablewarden.llm.sketches import (
+    aligned_batches, counted_run_batches, first_run_batches, run_batches, sketch_batches)
 from tablewarden.operators.lookup import broadcast_if_small
 from tablewarden.storage import release
 
@@ -32,6 +33,8 @@ PICKS = 2
 SKETCHES = 32
 # Texts of a sketch value up to which every two of them are compared.
 BUCKET = 128
+# Bytes of text that a task counts runs of.
+TASK_BYTES = 16_000_000
 # Size of the common runs up to which every task gets them; more are joined.
 COMMON_BYTES = 8_000_000
 # What is left of a value is cut into so many times more parts in each round.
@@ -138,6 +141,10 @@ def _ends_first(links: _Links, members: DataFrame, parts: int) -> DataFrame:
     return kept
 
 
+def _values(runs: DataFrame) -> np.ndarray:
+    return np.sort(np.array([r._value for r in runs.select("_value").collect()], np.int64))
+
+
 def _rare_runs_first(links: _Links, texts: DataFrame, hot: DataFrame, k: int, limit: int,
                      max_bytes: int = COMMON_BYTES) -> DataFrame:
     """Stored (_key, _words, _value, _root, _common): runs, some of which near texts have in common.
@@ -148,14 +155,28 @@ def _rare_runs_first(links: _Links, texts: DataFrame, hot: DataFrame, k: int, li
     """
     chosen = materialize(semi_join_stored(texts.select("_key", "_text"), hot, "_key").dropDuplicates(["_key"]),
                          "hot_texts")
-    runs = in_small_batches(chosen).mapInArrow(partial(run_batches, k=k),
-                                               "_key binary, _words bigint, _runs array<bigint>")
-    each = runs.select("_key", "_words", F.size("_runs").alias("_n"), F.explode("_runs").alias("_value"))
-    common = materialize(each.groupBy("_value").agg(F.count(F.lit(1)).alias("_texts"))
-                         .where(F.col("_texts") > limit).select("_value", F.lit(True).alias("_common")), "common_runs")
-    if 8 * common.count() <= max_bytes:
-        # So few common runs that every task can have them; only first runs become rows then.
-        known = np.sort(np.array([r._value for r in common.select("_value").collect()], np.int64))
+    size = chosen.agg(F.sum(F.octet_length("_text"))).first()[0]
+    tasks = -(-size // TASK_BYTES)
+    # A run that more than ``limit`` texts have is in more than limit / tasks texts of some task.
+    limit = max(limit, 16 * tasks)
+
+    def counted(more_than: int, among: np.ndarray | None) -> DataFrame:
+        return in_small_batches(chosen.coalesce(tasks)).mapInArrow(
+            partial(counted_run_batches, k=k, more_than=more_than, among=among), "_value bigint, _texts bigint")
+    often = materialize(counted(limit // tasks, None).select("_value").distinct(), "often_runs")
+    few = 8 * often.count() <= max_bytes
+    if few:
+        # So few runs that every task can have them; only first runs become rows then.
+        counts = counted(0, _values(often)).groupBy("_value").agg(F.sum("_texts").alias("_texts"))
+    else:
+        runs = in_small_batches(chosen).mapInArrow(partial(run_batches, k=k),
+                                                   "_key binary, _words bigint, _runs array<bigint>")
+        each = runs.select("_key", "_words", F.size("_runs").alias("_n"), F.explode("_runs").alias("_value"))
+        counts = each.groupBy("_value").agg(F.count(F.lit(1)).alias("_texts"))
+    common = materialize(counts.where(F.col("_texts") > limit).select("_value", F.lit(True).alias("_common")),
+                         "common_runs")
+    if few:
+        known = _values(common)
         first = in_small_batches(chosen).mapInArrow(
             partial(first_run_batches, k=k, common=known, similarity=links.similarity),
             "_key binary, _words bigint, _value bigint, _common boolean")
@@ -165,7 +186,7 @@ def _rare_runs_first(links: _Links, texts: DataFrame, hot: DataFrame, k: int, li
             "_common", F.coalesce("_common", F.lit(False))).withColumn("_place", F.row_number().over(place))
         first = first.where(F.col("_place") <= F.col("_n") - F.ceil(F.col("_n") * links.similarity - 1e-9) + 1)
     first = materialize(first.select("_key", "_words", "_value", "_common"), "first_runs")
-    release(chosen, common)
+    release(chosen, often, common)
     return first
 
 

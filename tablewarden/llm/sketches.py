@@ -158,6 +158,21 @@ def run_batches(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Record
                 ["_key", "_words", "_runs"])
 
 
+def counted_run_batches(batches: Iterator[pa.RecordBatch], k: int, more_than: int, among: np.ndarray | None
+                        ) -> Iterator[pa.RecordBatch]:
+    """(key, text) in; (run, how many of the task's texts have it) of the runs that more texts have.
+
+    With ``among``, sorted, only those runs count. A run with its label is in a text once.
+    """
+    kept = []
+    for batch in run_batches(batches, k):
+        runs = np.asarray(batch.column(2).flatten())
+        kept.append(runs if among is None else runs[np.isin(runs, among)])
+    runs, counts = np.unique(np.concatenate(kept) if kept else np.zeros(0, np.int64), return_counts=True)
+    many = counts > more_than
+    yield pa.RecordBatch.from_arrays([pa.array(runs[many]), pa.array(counts[many])], ["_value", "_texts"])
+
+
 def first_run_batches(batches: Iterator[pa.RecordBatch], k: int, common: np.ndarray, similarity: float
                       ) -> Iterator[pa.RecordBatch]:
     """(key, text) in; (key, words, run, whether it is in ``common``) of the first runs of each text out.
