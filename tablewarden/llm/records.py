@@ -24,7 +24,6 @@ DATE = "1970-01-01T00:00:00Z"
 
 ARCHIVE_BYTES = 32_000_000
 _READ_BYTES = 1 << 18
-_MAX_HEADER = 1 << 20
 
 
 def base32_sha1(data: bytes) -> str:
@@ -120,7 +119,7 @@ class _Member:
         at = 0
         while (found := self.buffer.find(mark, at)) < 0:
             at = max(0, len(self.buffer) - len(mark))
-            if len(self.buffer) > _MAX_HEADER or not self.more():
+            if not self.more():
                 raise ValueError("a record header has no end")
         return self.take(found + len(mark))
 

@@ -72,3 +72,9 @@ def test_damage_is_seen():
     for bad in (whole[:-9], gzip.compress(text[:-6]), gzip.compress(text + b"x"), gzip.compress(b"HTTP/1.1 200\r\n\r\n")):
         with pytest.raises(ValueError):
             list(read_records(io.BytesIO(bad)))
+
+
+def test_a_very_long_url_comes_back():
+    url = "https://example.org/" + "a" * 3_000_000
+    rows = list(read_records(io.BytesIO(record(1, url, b"x", None, False) + record(2, "u", b"y", None, False))))
+    assert [r.fields["warc-target-uri"] for r in rows] == [url, "u"] and all(r.intact for r in rows)
