@@ -220,7 +220,10 @@ def near_roots(texts: DataFrame, similarity: float = SIMILARITY, k: int = RUN, p
         return links.roots
     hot = materialize(large.select("_key").distinct(), "hot_texts")
     first = _rare_runs_first(links, texts, hot, k, bucket, common_bytes)
-    rare = _join_roots(first.where(~F.col("_common")).select("_key", "_words", "_value"), links.roots)
+    rare = first.where(~F.col("_common")).select("_key", "_words", "_value")
+    shared = materialize(rare.groupBy("_value").agg(F.count(F.lit(1)).alias("_texts"))
+                         .where(F.col("_texts") > 1).select("_value"), "shared_runs")
+    rare = _join_roots(semi_join_stored(rare, shared, "_value"), links.roots)
     links.compare(pairs.unionAll(_candidates(materialize(rare, "rare_runs"), similarity)))
     rest = materialize(_join_roots(first.where("_common").select("_key", "_words", "_value"), links.roots), "near_rest")
     release(first)
