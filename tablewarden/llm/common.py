@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tablewarden.operators.lookup import broadcast_if_small
 from tablewarden.storage import materialize
 
-__all__ = ["Packed", "in_small_batches", "let", "text_key", "key_hex", "semi_join_stored", "materialize"]
+__all__ = ["Packed", "in_blocks", "in_small_batches", "let", "running", "text_key", "key_hex",
+           "semi_join_stored", "materialize"]
 
 
 class Packed:
@@ -45,6 +46,33 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def in_blocks(values: Column) -> Column:
+    """A non-empty array cut into about as many blocks as a block has values."""
+    def cut(v: Column) -> Column:
+        n = F.ceil(F.sqrt(F.size(v).cast("double"))).cast("int")
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / n).cast("int")),
+                           lambda i: F.slice(v, i * n + 1, n))
+    return let(values, cut)
+
+
+def running(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """Running values of a non-empty array of numbers from 0 on, such as sums or maxima, which are
+    the same in any grouping.
+
+    An array grows by a copy at each step, so values run within blocks, and blocks by their totals.
+    """
+    def steps(block: Column, first: Column) -> Column:
+        return F.aggregate(block, F.array(first), lambda made, x: F.array_append(
+            made, combine(F.element_at(made, -1), x)))
+
+    def all_blocks(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), combine))
+        starts = F.slice(steps(totals, F.lit(0)), 1, F.size(blocks))
+        return F.flatten(F.zip_with(blocks, starts, lambda b, first: F.slice(
+            steps(b, first), 2, F.size(b))))
+    return let(in_blocks(values), all_blocks)
+
+
 def text_key(text: str | Column) -> Column:
     """16 bytes of SHA-256 that stand for a text; NULL for a NULL text."""
     return F.unhex(F.substring(F.sha2(text, 256), 1, 32))

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewarden.llm.common import Packed, let, materialize, text_key
+from tablewarden.llm.common import Packed, in_blocks, let, materialize, running, text_key
 from tablewarden.operators.lookup import broadcast_if_small
 
 # The patterns, with the letters of the words in either case.
@@ -57,18 +57,11 @@ def _matches(text: Column, pattern: str, kind: int, keep: Column | None = None)
     the places. The pieces are only made for texts with a match.
     """
     def placed(found: Column) -> Column:
-        gaps = F.split(text, pattern, -1)
-        pieces = F.zip_with(found, F.slice(gaps, 1, F.size(found)), lambda m, g: F.struct(
-            F.length(g).alias("gap"), m.alias("m")))
-        start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN_TYPE).alias("spans"))
-
-        def step(s: Column, p: Column) -> Column:
-            a = s["at"] + p["gap"]
-            b = a + F.length(p["m"])
-            return F.struct(b.alias("at"), F.array_append(s["spans"], F.struct(
-                a.alias("start"), F.lit(kind).alias("kind"), b.alias("stop"), p["m"].alias("token"))
-            ).alias("spans"))
-        return F.aggregate(pieces, start, step, lambda s: s["spans"])
+        widths = F.zip_with(found, F.slice(F.split(text, pattern, -1), 1, F.size(found)),
+                            lambda m, gap: F.length(gap) + F.length(m))
+        return F.zip_with(found, running(widths, lambda a, b: a + b), lambda m, stop: F.struct(
+            (stop - F.length(m)).alias("start"), F.lit(kind).alias("kind"), stop.alias("stop"),
+            m.alias("token")))
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     return let(found, lambda m: F.when(F.size(m) > 0, placed(m)).otherwise(
         F.array().cast(SPAN_TYPE)))
@@ -174,7 +167,9 @@ def scan(docs: DataFrame, text: str = "text", rate: float = FALSE_REJECTIONS) ->
 
     The spans of the fixed patterns are all there; random tokens are added where they overlap none
     of them. Decisions are over the distinct tokens of all documents, so copies do not weigh. A NULL
-    or empty text has no spans.
+    or empty text has no spans, an empty table no rows; a very long text costs little more than its
+    length and its spans. Equal texts have equal spans, and repeated rows stay repeated. Other columns
+    are kept, whatever their names; one named ``secrets`` is replaced.
     """
     packed = Packed(docs)
     text = packed.named(text)
@@ -188,18 +183,25 @@ def scan(docs: DataFrame, text: str = "text", rate: float = FALSE_REJECTIONS) ->
     added = found.join(broadcast_if_small(random), F.col("token") == F.col("_token"), "left_semi") \
         .where(F.col("kind") == 3)
     kept = found.where(F.col("kind") < 3).unionAll(added)
-    grouped = kept.groupBy("_key").agg(F.array_sort(F.collect_list(
-        F.struct("start", "kind", "stop"))).alias("_all"))
-    fixed = F.filter("_all", lambda s: s["kind"] < 3)
-    chosen = let(fixed, lambda known: F.filter("_all", lambda s: (s["kind"] < 3) | ~F.exists(
-        known, lambda k: (k["start"] < s["stop"]) & (s["start"] < k["stop"]))))
+    # Overlaps show between neighbours in the order of the places: the farthest stop so far and the
+    # next start. Windows that grow in one direction take one step per span.
+    text_spans = Window.partitionBy("_key")
+    upto, back = text_spans.orderBy("start"), text_spans.orderBy(F.desc("start"))
+    is_fixed = F.col("kind") < 3
+    kept = kept.select("_key", "start", "kind", "stop",
+                       F.max(F.when(is_fixed, F.col("stop"))).over(upto).alias("_reach"),
+                       F.min(F.when(is_fixed, F.col("start"))).over(back).alias("_next"))
+    kept = kept.where(is_fixed | ~(F.coalesce(F.col("_reach") > F.col("start"), F.lit(False))
+                                   | F.coalesce(F.col("_next") < F.col("stop"), F.lit(False))))
     # Of the parts of one token, those inside another one add nothing.
-    chosen = let(chosen, lambda all_: F.filter(all_, lambda s: (s["kind"] < 3) | ~F.exists(
-        all_, lambda o: (o["kind"] == 3) & (o["start"] <= s["start"]) & (s["stop"] <= o["stop"])
-        & (o["stop"] - o["start"] > s["stop"] - s["start"]))))
+    outer = text_spans.orderBy("start", F.desc("stop")).rowsBetween(Window.unboundedPreceding, -1)
+    kept = kept.withColumn("_outer", F.max(F.when(~is_fixed, F.col("stop"))).over(outer))
+    kept = kept.where(is_fixed | F.col("_outer").isNull() | (F.col("_outer") < F.col("stop")))
+    chosen = F.array_sort(F.collect_list(F.struct("start", "kind", "stop")))
     names = F.array(*[F.lit(k) for k in KINDS])
-    named = F.transform(chosen, lambda s: F.struct(
+    named = F.transform("_chosen", lambda s: F.struct(
         s["start"].alias("start"), s["stop"].alias("stop"), F.get(names, s["kind"]).alias("kind")))
+    grouped = kept.groupBy("_key").agg(chosen.alias("_chosen"))
     grouped = materialize(grouped.select("_key", named.alias("_secrets")), "secrets")
     joined = base.join(grouped, "_key", "left")
     return packed.unpack(joined, [F.coalesce("_secrets", F.array().cast(
@@ -211,15 +213,23 @@ def redact(text: Column, spans: Column, mark: str = "[{}]") -> Column:
 
     A span that begins inside the one before it only lengthens that one.
     """
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     before, after = mark.split("{}")
 
-    def step(s: Column, span: Column) -> Column:
-        fresh = span["start"] >= s["at"]
-        piece = F.concat(F.substr(text, s["at"] + 1, F.greatest(span["start"] - s["at"], F.lit(0))),
-                         F.lit(before), span["kind"], F.lit(after))
-        return F.struct(F.greatest(s["at"], span["stop"]).alias("at"),
-                        F.concat(s["out"], F.when(fresh, piece).otherwise("")).alias("out"))
-    cleaned = F.aggregate(spans, start, step, lambda s: F.concat(
-        s["out"], F.substr(text, s["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, cleaned).otherwise(text)
+    def block(spans: Column, at: Column, to: Column) -> Column:
+        """The text from ``at`` to ``to``, which ``spans`` cover; cut out once, so places are near."""
+        def piece(own: Column) -> Column:
+            return F.array_join(F.transform(spans, lambda s: F.when(s["start"] >= s["at"], F.concat(
+                F.substr(own, s["at"] - at + 1, s["start"] - s["at"]), F.lit(before), s["kind"],
+                F.lit(after))).otherwise("")), "")
+        return let(F.substr(text, at + 1, to - at), piece)
+
+    def cleaned(reach: Column) -> Column:
+        placed = F.zip_with(spans, F.concat(F.array(F.lit(0)), reach), lambda s, at: F.when(
+            s.isNotNull(), F.struct(at.alias("at"), s["start"].alias("start"), s["kind"].alias("kind"))))
+        placed = F.slice(placed, 1, F.size(spans))
+        parts = let(in_blocks(placed), lambda blocks: F.transform(blocks, lambda b, i: block(
+            b, F.get(b, 0)["at"], F.coalesce(F.get(F.get(blocks, i + 1), 0)["at"], F.get(reach, F.size(reach) - 1)))))
+        return F.concat(F.array_join(parts, ""),
+                        F.substr(text, F.get(reach, F.size(reach) - 1) + 1, F.length(text)))
+    reach = running(F.transform(spans, lambda s: s["stop"]), lambda a, b: F.greatest(a, b))
+    return F.when(F.size(spans) > 0, let(reach, cleaned)).otherwise(text)

@@ -175,3 +175,20 @@ def test_odd_documents_and_empty_tables(spark, odd, empty):
     assert len(rows.columns) == len({c.lower() for c in rows.columns})
     assert all(r["secrets"] == [] for r in rows.collect()) and rows.count() == odd.count()
     assert scan(empty).count() == 0
+
+
+def test_very_many_spans_in_one_text(spark):
+    rng = random.Random(9)
+    tokens = ["".join(rng.choices("0123456789abcdef", k=32)) for _ in range(20_000)]
+    text = "é " + " \U0001f600 ".join(f"{t} token={t[:12]}" for t in tokens) + " end"
+    df = spark.createDataFrame([(1, text), (2, tokens[0]), (3, None)], "doc_id bigint, text string")
+    rows = {r["doc_id"]: r for r in scan(df).withColumn("clean", redact(F.col("text"), F.col("secrets"))).collect()}
+    spans = [(s["start"], KINDS.index(s["kind"]), s["stop"]) for s in rows[1]["secrets"]]
+    assert [s for s in spans if s[1] < 3] == base(text) and len(spans) >= 40_000
+    out, at = [], 0
+    for a, k, b in spans:
+        if a >= at:
+            out.append(text[at:a] + f"[{KINDS[k]}]")
+        at = max(at, b)
+    assert rows[1]["clean"] == "".join(out) + text[at:]
+    assert (rows[2]["clean"], rows[3]["clean"]) == ("[hex]", None)
