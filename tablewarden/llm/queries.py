@@ -90,7 +90,7 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP5_SQL = """
 WITH t AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS place,
-                  count(*) OVER (PARTITION BY conv_id) AS size FROM conversations),
+                  count(*) OVER (PARTITION BY conv_id) AS size FROM conversations WHERE conv_id IS NOT NULL),
 p AS (SELECT conv_id, place, size, string_agg(sha256(role || chr(0) || text), '') OVER (
              PARTITION BY conv_id ORDER BY place) AS prefix FROM t),
 w AS (SELECT place, prefix, min(conv_id) AS conv_id FROM p WHERE place = size GROUP BY place, prefix),
@@ -99,6 +99,9 @@ kept AS (SELECT conv_id FROM w WHERE NOT EXISTS (
 SELECT conv_id, count(*) AS n_turns,
        string_agg('<|' || role || '|>' || chr(10) || text || chr(10) || '<|end|>' || chr(10), '' ORDER BY place) AS chat
 FROM t WHERE conv_id IN (SELECT conv_id FROM kept) GROUP BY conv_id
+UNION ALL
+SELECT DISTINCT NULL, 1, '<|' || role || '|>' || chr(10) || text || chr(10) || '<|end|>' || chr(10) FROM conversations
+WHERE conv_id IS NULL AND NOT EXISTS (SELECT 1 FROM p WHERE p.place = 1 AND p.prefix = sha256(role || chr(0) || text))
 """
 
 
