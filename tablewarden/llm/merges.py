@@ -14,6 +14,8 @@ import regex
 
 # Texts are worked on together up to this size; a longer text is a corpus of its own.
 CHUNK_CHARS = 2_000_000
+# Very short texts are worked on together up to this number of rows.
+CHUNK_ROWS = 20_000
 # Encoded words that a task remembers; beyond this it starts anew.
 REMEMBERED = 400_000
 
@@ -164,20 +166,36 @@ def load(path: str, pattern: str) -> Merges:
 
 def encode_batches(batches: Iterator[pa.RecordBatch], path: str, pattern: str, place: int
                    ) -> Iterator[pa.RecordBatch]:
-    """Add ``ids`` to each batch, from its text column at ``place``."""
+    """Add ``_ids`` to all rows, from the text column at ``place``.
+
+    Texts are gathered over batches, in order, until they make a corpus of ``CHUNK_CHARS``.
+    """
     merges = load(path, pattern)
+
+    def encoded(parts: list[pa.RecordBatch], texts: list[str]) -> Iterator[pa.RecordBatch]:
+        ids, at = merges.encode(texts), 0
+        for part in parts:
+            own = pa.array(ids[at:at + part.num_rows], pa.binary())
+            at += part.num_rows
+            yield pa.RecordBatch.from_arrays([*part.columns, own], [*part.schema.names, "_ids"])
+
+    parts, texts, size = [], [], 0
     for batch in batches:
-        at = 0
-        text = batch.column(place)
-        while at < batch.num_rows:
-            texts, size = [], 0
-            while at + len(texts) < batch.num_rows and (not texts or size < CHUNK_CHARS):
-                texts.append(text[at + len(texts)].as_py() or "")
-                size += len(texts[-1])
-            part = batch.slice(at, len(texts))
-            ids = pa.array(merges.encode(texts), pa.binary())
-            yield pa.RecordBatch.from_arrays([*part.columns, ids], [*part.schema.names, "_ids"])
-            at += len(texts)
+        text, start = batch.column(place), 0
+        for i in range(batch.num_rows):
+            texts.append(text[i].as_py() or "")
+            size += len(texts[-1])
+            if size >= CHUNK_CHARS:
+                yield from encoded([*parts, batch.slice(start, i + 1 - start)], texts)
+                parts, texts, size, start = [], [], 0, i + 1
+        # The rest waits for later batches; rows without text are held to a number too.
+        if start < batch.num_rows:
+            parts.append(batch.slice(start))
+        if len(texts) >= CHUNK_ROWS:
+            yield from encoded(parts, texts)
+            parts, texts, size = [], [], 0
+    if texts:
+        yield from encoded(parts, texts)
 
 
 def decode_batches(batches: Iterator[pa.RecordBatch], path: str, pattern: str, place: int

@@ -59,3 +59,30 @@ def test_odd_documents_and_empty_tables(spark, odd, empty):
     assert all(bytes(r["decoded"]) == (r["text"] or "").encode() for r in decoded) and len(decoded) == odd.count()
     assert all(r["n_tokens"] * 4 == len(r["ids"]) for r in decoded)
     assert bpe.decode(bpe.encode(empty, PATH, PATTERN), PATH, PATTERN).count() == 0
+
+
+def test_a_corpus_spans_batches(monkeypatch):
+    import pyarrow as pa
+
+    from tablewarden.llm import merges
+    rng = random.Random(3)
+    texts = [None, ""] + ["".join(rng.choices("abc de\n", k=rng.randrange(90))) for _ in range(300)]
+    batches = [pa.RecordBatch.from_pydict({"n": list(range(i, min(i + 7, 302))), "t": pa.array(texts[i:i + 7], pa.string())})
+               for i in range(0, 302, 7)]
+    vocabulary = merges.load(PATH, PATTERN)
+    want = vocabulary.encode([t or "" for t in texts])
+    sizes = []
+    plain_encode = merges.Merges.encode
+    monkeypatch.setattr(merges.Merges, "encode", lambda self, t: sizes.append(len(t)) or plain_encode(self, t))
+    for chars, rows in ((1, 20), (50, 20_000), (1000, 20_000), (10**9, 40), (10**9, 20_000)):
+        monkeypatch.setattr(merges, "CHUNK_CHARS", chars)
+        monkeypatch.setattr(merges, "CHUNK_ROWS", rows)
+        sizes.clear()
+        made = list(merges.encode_batches(iter(batches), PATH, PATTERN, 1))
+        assert [n for b in made for n in b.column("n").to_pylist()] == list(range(302))
+        assert [x for b in made for x in b.column("_ids").to_pylist()] == want
+        assert sum(sizes) == 302
+        if chars == 1000:
+            assert max(sizes) > 7
+    assert sizes == [302]
+    assert list(merges.encode_batches(iter([]), PATH, PATTERN, 1)) == []
