@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tablewarden.operators import backup as B
 from tablewarden.operators import catalog as K
+from tablewarden.operators import chunks as C
 from tablewarden.plans.q_loading import COLUMNS, KEYS, VERSIONS, plain
 from tablewarden.plans.registry import query
 from tablewarden.plans.values import number
@@ -203,3 +204,81 @@ def b11_backup_health(t):
     return K.backup_health(t.backup_catalog).select(
         "database_id", "runs", "ok_runs", number("success_rate", 6), "broken_increments",
         "newest_size", number("trend_size", 4))
+
+
+ROWS_PER_CHUNK = 8
+
+
+def _chunk_sql(name: str) -> str:
+    """Chunks of a version: rows up to the next key whose hash is a cut."""
+    half = [_hex("d", start, 15) for start in (1, 16)]
+    return f"""SELECT sha256(concat_ws(':', CAST(count(*) AS VARCHAR), CAST(sum({half[0]}) AS VARCHAR),
+    CAST(sum({half[1]}) AS VARCHAR))) AS chunk_id, count(*) AS rows
+FROM (SELECT d, last_value(CASE WHEN {_hex('k', 25, 8)} % {ROWS_PER_CHUNK} = 0 THEN k END IGNORE NULLS)
+    OVER (ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING) AS first_key
+  FROM (SELECT o_orderkey, {_row_md5(['o_orderkey'])} AS k, {_ORDER_MD5} AS d FROM {name}))
+GROUP BY first_key"""
+
+
+@query(_chunk_sql("orders_v1"), VERSIONS)
+def b12_chunks(t):
+    """Where a version is cut and what its chunks are named."""
+    return C.chunks(t.orders_v1, KEYS, ROWS_PER_CHUNK)
+
+
+def _store(t) -> str:
+    path = new_path(t.spark, "chunk_store")
+    for name in VERSIONS:
+        C.add_snapshot(getattr(t, name), path, KEYS, name, ROWS_PER_CHUNK)
+    return path
+
+
+_CHUNKS = ", ".join(f"{name[-2:]} AS ({_chunk_sql(name)})" for name in VERSIONS)
+
+
+@query(f"""WITH {_CHUNKS}, u AS (SELECT *, 'orders_v0' AS snapshot FROM v0
+  UNION ALL SELECT *, 'orders_v1' FROM v1 UNION ALL SELECT *, 'orders_v2' FROM v2),
+f AS (SELECT *, min(snapshot) OVER (PARTITION BY chunk_id) AS stored_with FROM u)
+SELECT snapshot, count(*) AS chunks, CAST(sum(rows) AS BIGINT) AS rows,
+  count(*) FILTER (WHERE snapshot = stored_with) AS new_chunks,
+  CAST(coalesce(sum(rows) FILTER (WHERE snapshot = stored_with), 0) AS BIGINT) AS stored_rows,
+  CASE snapshot WHEN 'orders_v0' THEN 0
+    WHEN 'orders_v1' THEN (SELECT count(*) FROM ({_diff_sql("orders_v0", "orders_v1")}))
+    ELSE (SELECT count(*) FROM ({_diff_sql("orders_v1", "orders_v2")})) END AS changed_rows
+FROM f GROUP BY snapshot""", VERSIONS)
+def b12_chunk_store(t):
+    """What each of three versions adds to the store, next to its rows and its change set."""
+    path = _store(t)
+    held = C.manifest(t.spark, path).join(C.index(t.spark, path).drop("rows"), "chunk_id")
+    first = held.groupBy("part").agg(F.min("snapshot").alias("stored_with"))
+    own = F.col("snapshot") == F.col("stored_with")
+    sizes = held.join(first, "part").groupBy("snapshot").agg(
+        F.count(F.lit(1)).alias("chunks"), F.sum("rows").alias("rows"),
+        F.count_if(own).alias("new_chunks"),
+        F.coalesce(F.sum(F.when(own, F.col("rows"))), F.lit(0)).alias("stored_rows"))
+    counts = [B.change_set(getattr(t, a), getattr(t, b), KEYS, b, 1, "INCR").groupBy().agg(
+        F.lit(b).alias("snapshot"), F.count(F.lit(1)).alias("changed_rows"))
+        for a, b in zip(VERSIONS, VERSIONS[1:])]
+    return (sizes.join(counts[0].union(counts[1]), "snapshot", "left")
+            .withColumn("changed_rows", F.coalesce("changed_rows", F.lit(0))))
+
+
+@query(f"""WITH {_CHUNKS} SELECT chunk_id, rows, count(*) AS snapshots
+FROM (SELECT * FROM v1 UNION ALL SELECT * FROM v2) GROUP BY chunk_id, rows""", VERSIONS)
+def b12_chunk_references(t):
+    """Chunks left, and snapshots that hold each, after the first version was let go."""
+    path = _store(t)
+    C.expire(t.spark, path, ["orders_v0"])
+    C.sweep(t.spark, path, 0.0)
+    return C.references(t.spark, path).select("chunk_id", "rows", "snapshots")
+
+
+@query(" UNION ALL ".join(f"SELECT '{v}' AS snapshot, {COLUMNS} FROM {v}" for v in VERSIONS[1:]), VERSIONS)
+def b12_chunk_restore(t):
+    """Two versions row for row, after the first one was let go and its chunks were removed."""
+    path = _store(t)
+    C.expire(t.spark, path, ["orders_v0"])
+    C.sweep(t.spark, path, 0.0)
+    first, second = [plain(C.read_snapshot(t.spark, path, name)).withColumn("snapshot", F.lit(name))
+                     for name in VERSIONS[1:]]
+    return first.unionByName(second)

@@ -51,16 +51,27 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return stored
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def _located(spark: SparkSession, path: str):
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whatever store Spark reaches."""
+    path, store = _located(spark, path)
+    return store.exists(path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    path, store = _located(spark, path)
+    store.delete(path, True)
 
 
 def release(*tables: DataFrame) -> None:
     """Remove tables that ``materialize`` returned and that nothing reads any more."""
     for table in tables:
         _made.remove(table.stored_at)
-        _delete(table.sparkSession, table.stored_at)
+        delete_path(table.sparkSession, table.stored_at)
 
 
 def discard(spark: SparkSession) -> None:
@@ -70,4 +81,4 @@ def discard(spark: SparkSession) -> None:
     operators, after a result has been written; paths of other processes are not touched.
     """
     while _made:
-        _delete(spark, _made.pop())
+        delete_path(spark, _made.pop())
