@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tablewarden.functions.columns import money
 from tablewarden.operators import layout as Y
+from tablewarden.operators import sketches as S
 from tablewarden.operators import monitoring as M
 from tablewarden.operators.lookup import salted_join
 from tablewarden.plans.registry import query
@@ -338,3 +339,50 @@ def m17_salted_join(t):
                               "l_shipdate")
     names = t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
     return salted_join(lines, names, ["l_suppkey"], salts=8)
+
+
+_LEVELS = {"flag": ["l_returnflag"], "status": ["l_linestatus"], "all": []}
+
+
+def _level_sql(level: str, by: list[str]) -> str:
+    group = f"coalesce({by[0]}, '')" if by else "''"
+    return f"""SELECT '{level}' AS level, {group} AS grp, count(*) AS rows,
+  count(DISTINCT l_partkey) AS parts, TRUE AS parts_within, TRUE AS median_within, TRUE AS p95_within
+FROM lineitem GROUP BY {group}"""
+
+
+@query(" UNION ALL ".join(_level_sql(level, by) for level, by in _LEVELS.items()))
+def m18_sketch_requery(t):
+    """Distinct parts and price quantiles of three levels, from daily sketches stored in two loads.
+
+    Next to the exact counts stands whether the sketch is within three standard deviations, and
+    whether the rows below an estimated quantile are its share of all to within 0.02.
+    """
+    lines = t.lineitem.select("l_returnflag", "l_linestatus", "l_shipdate", "l_partkey", "l_extendedprice")
+    path, odd = new_path(t.spark, "sketches"), F.pmod(F.col("l_orderkey"), F.lit(2)) == 1
+    for load in (t.lineitem.where(odd), t.lineitem.where(~odd)):
+        S.build_sketches(load, ["l_returnflag", "l_linestatus", "l_shipdate"], {"part": "l_partkey"},
+                         {"price": "l_extendedprice"}).write.mode("append").parquet(path)
+    daily, out = t.spark.read.parquet(path), None
+    for level, by in _LEVELS.items():
+        grp = F.coalesce(F.col(by[0]), F.lit("")) if by else F.lit("")
+        merged = S.merge_sketches(daily.withColumn("grp", grp), ["grp"])
+        # One row per group of a level.
+        found = F.broadcast(S.estimates(merged, (0.5, 0.95)).drop("rows"))
+        counted = (lines.withColumn("grp", grp).join(found, "grp").groupBy("grp").agg(
+            F.count(F.lit(1)).alias("rows"), F.count_distinct("l_partkey").alias("parts"),
+            F.first("part_distinct").alias("estimate"),
+            *[F.count_if(F.col("l_extendedprice") < F.col("price_quantiles")[i]).alias(f"below_{i}")
+              for i in (0, 1)],
+            *[F.count_if(F.col("l_extendedprice") <= F.col("price_quantiles")[i]).alias(f"upto_{i}")
+              for i in (0, 1)]))
+
+        def within(i: int, q: float):
+            return ((F.col(f"below_{i}") <= (q + 0.02) * F.col("rows"))
+                    & (F.col(f"upto_{i}") >= (q - 0.02) * F.col("rows")))
+        answer = counted.select(
+            F.lit(level).alias("level"), "grp", "rows", "parts",
+            (F.abs(F.col("estimate") - F.col("parts")) <= 0.025 * F.col("parts")).alias("parts_within"),
+            within(0, 0.5).alias("median_within"), within(1, 0.95).alias("p95_within"))
+        out = answer if out is None else out.unionByName(answer)
+    return out
