@@ -21,6 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from tablewarden.operators.lookup import broadcast_if_small
 from tablewarden.storage import materialize
 
 MAX_GROUP_ROWS = 5_000_000
@@ -128,12 +129,13 @@ def arrange(df: DataFrame, by: Sequence[str], order: Sequence[str],
     return replace(plain, ordinary=ordinary, large=materialize(laid, "slices"))
 
 
-def _join_small(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """NULL-safe broadcast join that keeps the key columns of ``left`` only."""
+def _join_small(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str,
+                mark: Callable[[DataFrame], DataFrame] = F.broadcast) -> DataFrame:
+    """NULL-safe join that keeps the key columns of ``left`` only; broadcast unless ``mark`` says else."""
     renamed = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
                            *[c for c in right.columns if c not in keys])
     on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
-    joined = left.join(F.broadcast(renamed), on, how)
+    joined = left.join(mark(renamed), on, how)
     return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_r_{k}" for k in keys])
 
 
@@ -187,7 +189,10 @@ def _running_sliced(laid: DataFrame, by: Sequence[str],
     within = laid.select("*", *[
         _RUNNING[fn][0](F.col(f"_in_{n}")).over(here).alias(f"_here_{n}")
         for n, (fn, _) in values.items() if fn != "total"])
-    joined = _join_small(within, carried, [*by, _SLICE], "left")
+    # Few rows, but a value may be a whole row of another table, so their bytes are measured. Beyond
+    # the limit the join goes by slice, which bounds the rows of a key.
+    joined = _join_small(within, materialize(carried, "carried"), [*by, _SLICE], "left",
+                         broadcast_if_small)
     return joined.select(*kept, *[
         (F.col(f"_before_{n}") if fn == "total"
          else _RUNNING[fn][3](F.col(f"_before_{n}"), F.col(f"_here_{n}"))).alias(n)

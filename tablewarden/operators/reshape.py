@@ -45,9 +45,10 @@ def join_asof(left: DataFrame, right: DataFrame, key: Sequence[str], left_ts: st
         *key, F.col(right_ts).alias("_ts"), F.lit(0).alias("_side"),
         *[F.col(c).alias(f"_tie_{c}") for c in tie],
         F.struct(*values).alias("_right"))
-    # The hash of a left row only spreads left rows of one key and time over slices.
+    # The hash of a left row only spreads left rows of one key and time over slices. Maps have none.
+    hashed = [c for c, kind in left.dtypes if "map<" not in kind and "variant" not in kind]
     stacked_left = left.select(*key, F.col(left_ts).alias("_ts"), F.lit(1).alias("_side"),
-                               F.xxhash64(F.to_json(F.struct(*left.columns))).alias("_spread"),
+                               F.xxhash64(F.lit(0), *hashed).alias("_spread"),
                                F.struct(*left.columns).alias("_left"))
     stacked = stacked_right.unionByName(stacked_left, allowMissingColumns=True)
     order = ["_ts", "_side", *[f"_tie_{c}" for c in tie], "_spread"]

@@ -10,6 +10,7 @@ from tablewarden.operators import cleaning as C
 from tablewarden.operators import monitoring as M
 from tablewarden.operators import ordered as O
 from tablewarden.operators import reshape as R
+from tablewarden.operators.lookup import broadcast_if_small, table_bytes
 from tablewarden.operators.quantiles import exact_quantiles
 from tests.conftest import rows
 
@@ -113,6 +114,25 @@ def test_join_asof(skewed):
         assert by_id[i]["right_id"] == best
 
 
+def test_join_asof_with_wide_right_rows(skewed, monkeypatch):
+    """Rows carried between slices are broadcast only up to a size; beyond it the result is the same."""
+    right = skewed.where("id % 10 = 0").select("user", "ts", F.col("id").alias("right_id"),
+                                               F.repeat(F.lit("w"), 5000).alias("wide"))
+    left = skewed.select("user", "id", "ts", F.create_map(F.lit("a"), "id").alias("m"))
+
+    def joined(max_rows):
+        return R.join_asof(left, right, ["user"], "ts", "ts", ["right_id", "wide"], max_rows, ["right_id"])
+    measured = []
+
+    def limited(df):
+        measured.append(table_bytes(df))
+        return broadcast_if_small(df, 10_000)
+    plain = rows(joined(ALL), "id", "right_id", "wide")
+    monkeypatch.setattr(O, "broadcast_if_small", limited)
+    assert rows(joined(150), "id", "right_id", "wide") == plain
+    assert len(measured) == 1 and measured[0] > 10_000
+
+
 def test_join_valid_with_long_history(spark):
     history = spark.range(500).selectExpr(
         "id % 2 as k", "id as version", "timestamp_ntz '2024-01-01' + make_dt_interval(cast(id as int)) as valid_from",
