@@ -1,24 +1,28 @@
 """Overlap join of two tables of intervals, without comparing intervals that lie apart.
 
-Two intervals overlap exactly when the later start lies inside the other interval. Time is cut
-into bins, bins into ever coarser ones. An interval is covered by the few largest bins that fill it,
-a start lies in one bin of each size, so "a start inside an interval" is an equi-join on the bin that finds
-each pair once. Long and short intervals cost about the same number of rows, and a crowded bin gives
-rows only for pairs that really overlap, up to the finest bins at the two edges.
+Time is cut into bins, bins into ever coarser ones. An interval belongs to the size of bins that its length is
+like, where it touches three bins at most; in coarser sizes it visits the bin or two that it touches, if the other
+table has intervals there. Two intervals meet in the size of the longer one, in the bin of the later start, so the
+join is an equi-join on the bin that finds each pair once, and what shares a bin lies no further
+apart than an interval of that size is long. Keys with few rows need no bins.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewarden.operators.lookup import broadcast_if_small
 from tablewarden.storage import materialize
 
 # Bins of one size in a bin of the next.
 FAN = 4
+# Rows of a key in a table up to which every two are compared.
+SMALL_GROUP = 256
 _WIDEST = 1 << 62
 
 
@@ -50,17 +54,12 @@ def _limits(rows: DataFrame) -> tuple:
     return tuple(rows.agg(F.count(F.lit(1)), F.min("_start"), F.max("_start")).first())
 
 
-def _cover(low: Column, high: Column, levels: int) -> Column:
-    """The largest bins that fill the finest bins from ``low`` to before ``high``, as (level, bin)."""
-    def level(k: int) -> Column:
-        size, wider = FAN**k, FAN ** (k + 1)
-        first, last = _ceil(low, size), _div(high, size)
-        if k == levels - 1:
-            return _bins(k, first, last)
-        inner_first, inner_last = _ceil(low, wider) * FAN, _div(high, wider) * FAN
-        return F.when(inner_first >= inner_last, _bins(k, first, last)).otherwise(
-            F.concat(_bins(k, first, inner_first), _bins(k, inner_last, last)))
-    return F.concat(*[level(k) for k in range(levels)])
+def _crowded(one: DataFrame, two: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+    """Stored keys with more than ``SMALL_GROUP`` rows in a table, or None; at most rows / SMALL_GROUP."""
+    def of(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > SMALL_GROUP).select(*keys)
+    crowded = materialize(of(one).unionAll(of(two)).distinct(), "crowded_keys")
+    return None if crowded.isEmpty() else crowded
 
 
 def _div(c: Column, size: int) -> Column:
@@ -68,14 +67,15 @@ def _div(c: Column, size: int) -> Column:
     return F.call_function("div", c, F.lit(size).cast("bigint"))
 
 
-def _ceil(c: Column, size: int) -> Column:
-    return _div(c + F.lit(size - 1).cast("bigint"), size)
+def _places(placed: Sequence[tuple[Column, int, int]], first: Column, last: Column, width: int) -> Column:
+    """Bins from the one of ``first`` to the one of ``last``, for each (condition, level, pairing)."""
+    none = F.array().cast("array<struct<level:int,bin:bigint,pairing:int,opens:boolean>>")
 
-
-def _bins(level: int, first: Column, last: Column) -> Column:
-    none = F.array().cast("array<struct<level:int,bin:bigint>>")
-    return F.when(first < last, F.transform(F.sequence(first, last - 1), lambda b: F.struct(
-        F.lit(level).alias("level"), b.alias("bin")))).otherwise(none)
+    def bins(level: int, pairing: int) -> Column:
+        low, high = _div(first, width * FAN**level), _div(last, width * FAN**level)
+        return F.transform(F.sequence(low, high), lambda b: F.struct(
+            F.lit(level).alias("level"), b.alias("bin"), F.lit(pairing).alias("pairing"), (b == low).alias("opens")))
+    return F.concat(none, *[F.when(cond, bins(level, pairing)).otherwise(none) for cond, level, pairing in placed])
 
 
 def overlap_join(left: DataFrame, right: DataFrame, left_bounds: tuple[str, str], right_bounds: tuple[str, str],
@@ -88,9 +88,10 @@ def overlap_join(left: DataFrame, right: DataFrame, left_bounds: tuple[str, str]
     must differ between the tables. Repeated rows give repeated pairs. ``width`` is the size of the finest
     bins in units of the bounds (days, microseconds); by default there are about as many as rows.
 
-    Rows moved are those of both tables times the bins of an interval, which grow with the logarithm of its
-    length, and the pairs found. A bin that a large part of the intervals cover is one key of a shuffle
-    join, whose tasks adaptive execution splits; its rows are all part of the result.
+    Rows moved are those of both tables times the bins of an interval: about three, and one or two for each
+    size that longer intervals of the other table have. No pair is moved. A key of at most ``SMALL_GROUP`` rows in
+    either table is not cut. Neither side is broadcast, as its size in memory is not known before. A bin that a large part of the
+    intervals share is one key of a shuffle join, whose tasks adaptive execution splits.
     """
     clash = {c.lower() for c in left.columns} & {c.lower() for c in right.columns}
     if clash:
@@ -103,34 +104,40 @@ def overlap_join(left: DataFrame, right: DataFrame, left_bounds: tuple[str, str]
     base = min((x[1] for x in known), default=0)
     last_start = max((x[2] for x in known), default=0)
     width = width or max(1, -(-(last_start - base + 1) // max(1, rows)))
-    bins, levels = -(-(last_start + 1 - base) // width), 1
-    while FAN**levels < bins:
-        levels += 1
+    bins, top = -(-(last_start + 1 - base) // width), 0
+    while FAN**top < bins:
+        top += 1
     keys = [f"_k{i}" for i in range(len(left_on))]
-
-    def covers(df: DataFrame, side: str) -> DataFrame:
-        # Nothing starts after the last start, so no cover need reach further.
-        end = F.least(F.col("_end"), F.lit(last_start + 1)) - base
-        places = _cover(_div(F.col("_start") - base, width), _ceil(end, width), levels)
-        return df.select(*keys, F.col("_start").alias("_from"), F.col("_end").alias("_to"), side, F.explode(places).alias("_at"))
-
-    def points(df: DataFrame, side: str) -> DataFrame:
-        place = _div(F.col("_start") - base, width)
-        at = F.array(*[F.struct(F.lit(k).alias("level"), _div(place, FAN**k).alias("bin")) for k in range(levels)])
-        return df.select(*keys, F.col("_start").alias("_point"), side, F.explode(at).alias("_at"))
-
-    def inside(outer: DataFrame, outer_side: str, inner: DataFrame, inner_side: str, equal: bool) -> DataFrame:
-        c, p = covers(outer, outer_side), points(inner, inner_side)
-        after = F.col("_from") <= F.col("_point") if equal else F.col("_from") < F.col("_point")
-        joined = c.alias("c").join(p.alias("p"), _all_equal([*keys, "_at.level", "_at.bin"]) & after
-                                   & (F.col("_point") < F.col("_to")))
-        return joined.select("_left", "_right")
-    pairs = inside(one, "_left", two, "_right", True).unionAll(inside(two, "_right", one, "_left", False))
+    crowded = _crowded(one, two, keys) if keys else None
+    # Nothing starts after the last start, so no bins need reach further.
+    first = F.col("_start") - base
+    last = F.least(F.col("_end"), F.lit(last_start + 1)) - base - 1
+
+    def leveled(rows: DataFrame) -> DataFrame:
+        level = reduce(lambda found, k: F.when(last - first < 2 * width * FAN**k, k).otherwise(found),
+                       reversed(range(top)), F.lit(top))
+        if keys and crowded is None:
+            level = F.lit(top)
+        elif keys:
+            rows = rows.join(broadcast_if_small(crowded.withColumn("_cut", F.lit(True))), keys, "left")
+            level = F.when(F.col("_cut"), level).otherwise(top)
+        return rows.withColumn("_level", level)
+    one, two = leveled(one), leveled(two)
+    ones, twos = (sorted(r[0] for r in rows.select("_level").distinct().collect()) for rows in (one, two))
+    ones, twos = ones or [top], twos or [top]
+    own = F.col("_level")
+    # Pairing 0: the left interval's size is the larger one, or the same; pairing 1: the right one's is.
+    places = {"_left": [(own == k, k, 0) for k in ones if k >= twos[0]] + [(own < k, k, 1) for k in twos if k > ones[0]],
+              "_right": [(own <= k, k, 0) for k in ones if k >= twos[0]] + [(own == k, k, 1) for k in twos if k > ones[0]]}
+
+    def placed(rows: DataFrame, side: str) -> DataFrame:
+        return rows.select(*keys, "_start", "_end", side, F.inline(_places(places[side], first, last, width)))
+    c, p = placed(one, "_left"), placed(two, "_right")
+    overlap = (F.col("c._start") < F.col("p._end")) & (F.col("p._start") < F.col("c._end"))
+    pairs = c.alias("c").join(p.hint("merge").alias("p"), _all_equal([*keys, "level", "bin", "pairing"]) & overlap
+                              & (F.col("c.opens") | F.col("p.opens")))
     return pairs.select("_left.*", "_right.*")
 
 
 def _all_equal(names: Sequence[str]) -> Column:
-    out = F.lit(True)
-    for n in names:
-        out = out & (F.col(f"c.{n}") == F.col(f"p.{n}"))
-    return out
+    return reduce(lambda a, b: a & b, [F.col(f"c.{n}") == F.col(f"p.{n}") for n in names])

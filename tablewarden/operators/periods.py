@@ -61,7 +61,8 @@ def periods(facts: DataFrame, keys: Sequence[str], values: Sequence[str], known_
     loads = Window.partitionBy(*own, "_piece").orderBy("_known")
     said = said.withColumn("_repeats", F.lag("_value").over(loads).eqNullSafe(F.col("_value")))
     said = said.where(~F.col("_repeats")).withColumn("_until", F.lead("_known").over(loads))
-    said = said.where(~F.col("_value.gone"))
+    # Stored, since the groups are counted before they are laid out.
+    said = materialize(said.where(~F.col("_value.gone")), "believed")
     # Neighbouring pieces with equal values that were believed in the same time.
     belief = [*own, "_known", "_until", "_value"]
     laid = arrange(said, belief, ["_piece"], max_rows).windowed(

@@ -68,6 +68,41 @@ def test_rows_stay_near_input_plus_output(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def shuffled_rows(df):
+    """Rows that the exchanges of a plan pass on, after a run of it."""
+    plan = df._jdf.queryExecution().executedPlan()
+    df._jdf.queryExecution().toRdd().count()
+    nodes, total = [plan.finalPhysicalPlan()], 0
+    while nodes:
+        node = nodes.pop()
+        if node.nodeName() == "Exchange":
+            total += node.metrics().apply("shuffleRecordsWritten").value()
+        nodes += [node.plan()] if "QueryStage" in node.nodeName() else [node.children().apply(i) for i in range(node.children().size())]
+    return total
+
+
+@pytest.mark.parametrize("keyed", [False, True])
+def test_intervals_move_few_times_and_are_not_broadcast(spark, keyed):
+    rng = random.Random(7)
+    starts = [rng.randrange(1_000_000) for _ in range(2000)]
+    left = [(i, f"k{i % 100}", a, a + 4_000) for i, a in enumerate(starts)]
+    right = [(i, f"k{i % 100}", a, a + 3_000) for i, a in enumerate(starts)]
+    one, two = both(spark, left, right)
+    joined = overlap_join(one, two, ("a", "b"), ("c", "d"), *((["k"], ["m"]) if keyed else ([], [])))
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert 4000 <= shuffled_rows(joined) <= (4000 if keyed else 20_000)
+
+
+def test_crowded_keys_among_others(spark):
+    rng = random.Random(8)
+    left = [(i, "big" if i < 400 else f"k{i}", a, a + rng.choice([1, 30, 4_000])) for i, a in
+            enumerate(rng.randrange(100_000) for _ in range(500))]
+    right = [(i, k, a + 1, b + 7) for i, k, a, b in left]
+    one, two = both(spark, left, right)
+    got = rows(overlap_join(one, two, ("a", "b"), ("c", "d"), ["k"], ["m"]), "i", "j")
+    assert sorted(got) == brute(left, right, True)
+
+
 DAY = dt.date(2024, 1, 1)
 
 
