@@ -100,10 +100,9 @@ def t17_state_at(t):
     """What held on one day, as it was believed after each load."""
     table = periods(_loads(t), ["o_custkey"], ["priority"], tie=["n"], ended="gone")
 
-    def asked(day):
-        known = F.lit(day).cast("date")
-        return state_at(table, F.lit("1998-06-01").cast("date"), known).select(known.alias("known"), "o_custkey", "priority")
-    return asked("2001-01-15").unionAll(asked("2001-02-15")).unionAll(asked("2001-03-15"))
+    days = [F.lit(day).cast("date") for day in ("2001-01-15", "2001-02-15", "2001-03-15")]
+    asked = table.withColumn("known", F.explode(F.array(*days)))
+    return state_at(asked, F.lit("1998-06-01").cast("date"), F.col("known")).select("known", "o_custkey", "priority")
 
 
 @query("""SELECT count(*) AS files, CAST(sum(n) AS BIGINT) AS rows, max(n) / avg(n) AS largest_to_mean,
