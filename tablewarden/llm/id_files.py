@@ -31,6 +31,8 @@ LEVEL = 3
 # A shard ends with the document that brings its frames to this size.
 SHARD_BYTES = 16_000_000
 _OUT_BYTES = 16_000_000
+# Characters that are cut into pieces at a time; a piece takes many times its length.
+_GROUP_CHARS = 1_000_000
 
 
 def digest_of(dictionary: bytes) -> str:
@@ -69,6 +71,19 @@ def slices_of(ids: pa.Array, bounds: np.ndarray, null_slices: int, salts: np.nda
     return np.where(null, -1 - salts % max(null_slices, 1), own)
 
 
+def _groups(texts: pa.Array) -> Iterator[list[str]]:
+    """Texts in order, so many at a time that they have about ``_GROUP_CHARS`` characters; NULL is empty."""
+    group, chars = [], 0
+    for i in range(len(texts)):
+        group.append(texts[i].as_py() or "")
+        chars += len(group[-1])
+        if chars >= _GROUP_CHARS:
+            yield group
+            group, chars = [], 0
+    if group:
+        yield group
+
+
 def encode_batches(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int | None, dictionary: bytes,
                    bounds: np.ndarray, null_slices: int) -> Iterator[pa.RecordBatch]:
     """(id, text) in; (slice, id, number of ids, frame) out."""
@@ -77,9 +92,7 @@ def encode_batches(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: in
     seen = itertools.count(TaskContext.get().partitionId() if TaskContext.get() else 0)
     for batch in batches:
         salts = np.fromiter(itertools.islice(seen, batch.num_rows), np.int64, batch.num_rows)
-        texts = [t or "" for t in batch.column(1).to_pylist()]
-        made = [ids + end for ids in tool.encode(texts)]
-        del texts
+        made = [ids + end for texts in _groups(batch.column(1)) for ids in tool.encode(texts)]
         yield pa.RecordBatch.from_arrays([
             pa.array(slices_of(batch.column(0), bounds, null_slices, salts), pa.int64()), batch.column(0),
             pa.array([len(m) // 4 for m in made], pa.int64()),

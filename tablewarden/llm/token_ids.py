@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewarden.llm import id_files
+from tablewarden.llm.common import in_small_batches
 from tablewarden.llm.units import encoder
 from tablewarden.storage import new_path
 
@@ -36,8 +37,16 @@ def train_dictionary(docs: DataFrame, tokenizer: str, ident: str = "doc_id", tex
     """
     short = docs.select(F.col(ident).alias("_id"), F.col(text).alias("_text")).where(
         F.octet_length("_text") <= SAMPLE_TEXT_BYTES)
-    sample = short.orderBy(F.xxhash64("_id"), "_id", F.xxhash64("_text")).limit(SAMPLE_TEXTS)
-    texts = [r._text for r in sample.select("_text").collect()]
+    order = [F.xxhash64("_id"), F.col("_id"), F.xxhash64("_text")]
+    # Every task sends its first rows to the driver, so these are ids only; then the texts of those come.
+    places = short.select(*[c.alias(f"_place{i}") for i, c in enumerate(order)])
+    first = places.orderBy(*places.columns).limit(SAMPLE_TEXTS).select(F.col("_place1").alias("_id")).collect()
+    named = docs.sparkSession.createDataFrame(sorted({(r._id,) for r in first if r._id is not None}), short.select("_id").schema)
+    if len(first) > sum(r._id is not None for r in first):
+        named = named.unionAll(named.sparkSession.createDataFrame([(None,)], named.schema))
+    named = named.select(F.col("_id").alias("_wanted"))
+    sample = short.join(F.broadcast(named), F.col("_id").eqNullSafe(F.col("_wanted")), "left_semi")
+    texts = [r._text for r in sample.orderBy(*order).limit(SAMPLE_TEXTS).select("_text").collect()]
     end = b"" if end_id is None else int(end_id).to_bytes(4, "little")
     return id_files.train([ids + end for ids in encoder(tokenizer).encode(texts)], size)
 
@@ -65,7 +74,7 @@ def write_ids(docs: DataFrame, tokenizer: str, ident: str = "doc_id", text: str
     shares = [i / slices for i in range(1, slices)]
     found = table.agg(F.percentile_approx("id", shares, 10 * slices)).first()[0] if shares else None
     null_slices = max(1, min(MAX_SLICES, (rows - known) // SLICE_ROWS))
-    encoded = table.mapInArrow(
+    encoded = in_small_batches(table).mapInArrow(
         partial(id_files.encode_batches, tokenizer=tokenizer, end_id=end_id, dictionary=dictionary,
                 bounds=np.array(found or [], np.int64), null_slices=null_slices),
         "slice bigint, id bigint, n_tokens bigint, frame binary")

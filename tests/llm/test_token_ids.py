@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -101,3 +102,18 @@ def test_single_documents_and_damage(spark, texts):
 
 def test_an_empty_table(spark, empty):
     assert token_ids.read_ids(spark, token_ids.write_ids(empty, PATH)).collect() == []
+
+
+def test_a_large_batch_is_encoded_in_bounded_groups(monkeypatch):
+    taken = []
+
+    class Tool:
+        def encode(self, texts):
+            taken.append(sum(map(len, texts)))
+            return [plain(t) for t in texts]
+    monkeypatch.setattr(id_files, "encoder", lambda path: Tool())
+    made = ["word " * 300] * 2_000 + [None, ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(made)), pa.int64()), pa.array(made, pa.string())], ["id", "text"])
+    out = list(id_files.encode_batches(iter([batch]), PATH, 2, b"", np.array([], np.int64), 1))
+    assert max(taken) <= id_files._GROUP_CHARS + 1_500 and sum(taken) == 2_000 * 1_500
+    assert out[0].column("n_tokens").to_pylist() == [len(plain(t)) // 4 + 1 for t in made]
