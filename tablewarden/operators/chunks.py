@@ -12,15 +12,17 @@ it is complete; the manifest comes last, so a snapshot exists as a whole or not
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablewarden.functions.columns import canonical_row
 from tablewarden.functions.digests import key_bucket, row_digest
 from tablewarden.operators.lookup import broadcast_if_small
-from tablewarden.operators.ordered import MAX_GROUP_ROWS, arrange
+from tablewarden.operators.ordered import MAX_GROUP_ROWS, MAX_SLICES, sort_columns
 from tablewarden.storage import delete_path, materialize, path_exists
 
 ROWS_PER_CHUNK = 1024
@@ -29,30 +31,62 @@ _MANIFEST = "chunk_id string, rows bigint, snapshot string"
 
 
 def _half(digest, start: int):
-    """Sixty bits of a digest as a decimal, so that sums over any number of rows stay exact."""
-    return F.conv(F.substr(digest, F.lit(start), F.lit(15)), 16, 10).cast("decimal(20,0)")
+    """Sixty bits of a digest as a number."""
+    return F.conv(F.substr(digest, F.lit(start), F.lit(15)), 16, 10).cast("bigint")
+
+
+def _key_hash(keys: Sequence[str]):
+    return F.unhex(F.md5(canonical_row(keys)))
+
+
+def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a slice in key order in; with the number of cuts up to each row and the key of the last out."""
+    cuts, last = 0, None
+    for batch in batches:
+        key, cut = batch.column("_key"), np.asarray(batch.column("_cut").fill_null(False))
+        at = np.maximum.accumulate(np.where(cut, np.arange(len(cut)), -1))
+        first = key.take(pa.array(at, pa.int64(), mask=at < 0))
+        if last is not None:
+            first = first.fill_null(last)
+        nth = cuts + np.cumsum(cut)
+        if len(cut):
+            cuts, last = int(nth[-1]), first[-1] if first[-1].is_valid else None
+        yield pa.RecordBatch.from_arrays([key, *[batch.column(c) for c in ("_a", "_b", "_slice")],
+                                          pa.array(nth, pa.int64()), first], ["_key", "_a", "_b", "_slice", "_nth", "_first"])
 
 
 def chunk_keys(df: DataFrame, keys: Sequence[str], rows_per_chunk: int = ROWS_PER_CHUNK,
                max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
-    """Per row: the hash of its key, the digest of its columns, and the first key of its chunk.
+    """Per row: the hash of its key, two halves of the digest of its columns, the first key of its chunk.
 
     Rows before the first cut have NULL as first key. Rows of one key are never parted, and the
-    order of equal keys does not matter. A table of more than ``max_rows`` rows is cut in slices
-    of the key order; what passes between slices is one hash each.
+    order of equal keys does not matter. A table is cut in slices of the key order, of about ``max_rows`` / 2 rows
+    at most; a row is moved once, to its slice, and stored. What passes between slices is one hash each.
     """
-    key = F.md5(canonical_row(keys))
-    hashed = df.select(*keys, key.alias("_key"), row_digest(sorted(df.columns)).alias("_digest"),
-                       F.when(key_bucket(keys, rows_per_chunk) == 0, key).alias("_cut"))
-    return (arrange(hashed, [], keys, max_rows).running({"_first": ("last", "_cut")}).rows()
-            .select("_key", "_digest", "_first"))
+    spark = df.sparkSession
+    hashed = df.select(*keys, _key_hash(keys).alias("_key"), row_digest(sorted(df.columns)).alias("_digest"),
+                       (key_bucket(keys, rows_per_chunk) == 0).alias("_cut"))
+    order = sort_columns(keys)
+    slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if max_rows is not None:
+        slices = max(slices, min(MAX_SLICES, -(-2 * df.count() // max_rows)))
+    laid = (hashed.withColumns({"_a": _half("_digest", 1), "_b": _half("_digest", 16)}).drop("_digest")
+            .repartitionByRange(slices, *order).sortWithinPartitions(*order)
+            .select("_key", "_a", "_b", "_cut", F.spark_partition_id().alias("_slice")))
+    stored = materialize(laid.mapInArrow(
+        _cut_batches, "_key binary, _a bigint, _b bigint, _slice int, _nth bigint, _first binary"), "chunk_keys")
+    # One row per slice.
+    ends = stored.groupBy("_slice").agg(F.max_by("_first", "_nth").alias("_end"))
+    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = materialize(ends.select("_slice", F.last("_end", ignorenulls=True).over(before).alias("_carried")), "carried")
+    return stored.join(F.broadcast(carried), "_slice", "left").select(
+        "_key", "_a", "_b", F.coalesce("_first", "_carried").alias("_first"))
 
 
 def _named(keyed: DataFrame) -> DataFrame:
-    """Chunks by their first key: rows and content name, from sums that are merged map-side."""
+    """Chunks by their first key: rows and content name, from exact sums that are merged map-side."""
     return (keyed.groupBy("_first")
-            .agg(F.count(F.lit(1)).alias("rows"), F.sum(_half("_digest", 1)).alias("_a"),
-                 F.sum(_half("_digest", 16)).alias("_b"))
+            .agg(F.count(F.lit(1)).alias("rows"), *[F.sum(F.col(c).cast("decimal(20,0)")).alias(c) for c in ("_a", "_b")])
             .select("_first", "rows", F.sha2(F.concat_ws(
                 ":", F.col("rows").cast("string"), F.col("_a").cast("string"),
                 F.col("_b").cast("string")), 256).alias("chunk_id")))
@@ -103,33 +137,40 @@ def add_snapshot(df: DataFrame, path: str, keys: Sequence[str], snapshot: str,
         raise ValueError(f"snapshot {snapshot} is in the store already")
     if clash := {"chunk_id", "part"} & set(df.columns):
         raise ValueError(f"columns with names of the store: {sorted(clash)}")
-    keyed = materialize(chunk_keys(df, keys, rows_per_chunk, max_rows), "chunk_keys")
+    keyed = chunk_keys(df, keys, rows_per_chunk, max_rows)
     named = materialize(_named(keyed), "chunks")
     new = named.join(index(spark, path), "chunk_id", "left_anti")
     part = f"p{uuid.uuid4().hex}"
-    wanted = (keyed.join(new, keyed["_first"].eqNullSafe(new["_first"]))
-              .select("_key", "chunk_id").distinct())
-    (df.withColumn("_key", F.md5(canonical_row(keys))).join(wanted, "_key").drop("_key")
-     .hint("rebalance", "chunk_id").write.parquet(f"{path}/parts/part={part}"))
+    # A key is in one chunk, whose name travels as bytes.
+    names = new.select("_first", F.unhex("chunk_id").alias("_chunk"))
+    wanted = (keyed.join(names, keyed["_first"].eqNullSafe(names["_first"]))
+              .select("_key", "_chunk").dropDuplicates(["_key"]))
+    rows = df.withColumn("_key", _key_hash(keys)).join(wanted, "_key").drop("_key")
+    _named_rows(rows.hint("rebalance", "_chunk")).write.parquet(f"{path}/parts/part={part}")
     new.select("chunk_id", "rows").write.parquet(f"{path}/index/part={part}")
     named.select("chunk_id", "rows").write.mode("overwrite").parquet(
         f"{path}/manifest/snapshot={snapshot}")
     return manifest(spark, path).where(F.col("snapshot") == snapshot)
 
 
+def _named_rows(df: DataFrame) -> DataFrame:
+    return df.withColumn("chunk_id", F.lower(F.hex("_chunk"))).drop("_chunk")
+
+
 def read_snapshot(spark: SparkSession, path: str, snapshot: str) -> DataFrame:
     """The rows of a snapshot; only parts that hold chunks of it have matching rows."""
     if not _complete(spark, path, snapshot):
         raise ValueError(f"no snapshot {snapshot} in the store")
     needed = (manifest(spark, path).where(F.col("snapshot") == snapshot)
-              .join(index(spark, path), "chunk_id").select("chunk_id", "part"))
+              .join(index(spark, path), "chunk_id").select(F.unhex("chunk_id").alias("_chunk"), "part"))
     return (_parts(spark, path).join(broadcast_if_small(materialize(needed, "needed")),
-                                     ["chunk_id", "part"], "left_semi")
-            .drop("chunk_id", "part"))
+                                     ["_chunk", "part"], "left_semi")
+            .drop("_chunk", "part"))
 
 
 def _parts(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/parts")
+    """The stored rows with their part and the name of their chunk as bytes, half as long as its text."""
+    return spark.read.parquet(f"{path}/parts").withColumn("_chunk", F.unhex("chunk_id")).drop("chunk_id")
 
 
 def references(spark: SparkSession, path: str) -> DataFrame:
@@ -165,9 +206,9 @@ def sweep(spark: SparkSession, path: str, dead_share: float = 0.2) -> DataFrame:
     if names:
         moved = live.where(F.col("part").isin(names))
         part = f"p{uuid.uuid4().hex}"
-        (_parts(spark, path).where(F.col("part").isin(names))
-         .join(moved.select("chunk_id", "part"), ["chunk_id", "part"], "left_semi").drop("part")
-         .hint("rebalance", "chunk_id").write.parquet(f"{path}/parts/part={part}"))
+        kept = (_parts(spark, path).where(F.col("part").isin(names))
+                .join(moved.select(F.unhex("chunk_id").alias("_chunk"), "part"), ["_chunk", "part"], "left_semi"))
+        _named_rows(kept.drop("part").hint("rebalance", "_chunk")).write.parquet(f"{path}/parts/part={part}")
         moved.select("chunk_id", "rows").write.parquet(f"{path}/index/part={part}")
         for name in names:
             delete_path(spark, f"{path}/index/part={name}")

@@ -96,3 +96,11 @@ def test_after_broken_attempts(spark):
     assert C.sweep(spark, path).select("part").collect()[0][0] == "z"
     assert rows(C.read_snapshot(spark, path, "a")) == rows(df)
     assert rows(C.read_snapshot(spark, path, "b")) == rows(later)
+
+
+def test_what_is_laid_aside_is_short_and_moved_once(spark):
+    """Hashes travel as bytes and numbers, and cuts are carried within a slice without another shuffle."""
+    keyed = C.chunk_keys(table(spark, 4000), ["k"], 40, max_rows=300)
+    assert dict(keyed.dtypes) == {"_key": "binary", "_a": "bigint", "_b": "bigint", "_first": "binary"}
+    plan = keyed._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "Window" not in plan
