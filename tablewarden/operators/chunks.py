@@ -127,7 +127,7 @@ def add_snapshot(df: DataFrame, path: str, keys: Sequence[str], snapshot: str,
                  ) -> DataFrame:
     """Store the chunks of ``df`` that the store lacks, then the snapshot's manifest; return it.
 
-    ``df`` is read twice and has to give the same rows both times. What is laid aside is a hash and two digests
+    ``df`` is read twice and has to give the same rows both times. What is laid aside is a hash and two numbers
     per row, not the table. Only rows of new chunks are moved; the table itself is filtered by
     their keys, which Spark broadcasts while few. Equal rows are kept as often as they occur. A
     snapshot that is there already is an error; an attempt that failed can be repeated.
