@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from tablewarden.operators.intervals import overlap_join
 from tablewarden.operators.periods import periods, state_at
-from tests.conftest import rows
+from tablewarden.plans.catalogue import QUERIES
+from tests.conftest import SMALL, rows
 
 
 def both(spark, left, right, kind="bigint"):
@@ -156,3 +157,8 @@ def test_periods_against_a_replay(spark, seed, most):
 def test_no_facts(spark):
     df = spark.createDataFrame([], "k string, v string, valid_from date, valid_to date, known_at date")
     assert periods(df, ["k"], ["v"]).collect() == []
+
+
+def test_the_days_asked_share_one_pass(spark):
+    plan = QUERIES["t17_state_at"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and plan.count("Relation ") <= 1
