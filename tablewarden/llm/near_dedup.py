@@ -17,7 +17,7 @@ from __future__ import annotations
 from functools import partial
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewarden.llm.common import Packed, in_small_batches, materialize, semi_join_stored, text_key
@@ -39,6 +39,8 @@ TASK_BYTES = 16_000_000
 COMMON_BYTES = 8_000_000
 # What is left of a value is cut into so many times more parts in each round.
 MORE_PARTS = 8
+# Pairs that are joined at once rather than in rounds: so many, or so many for each text of a value.
+PAIRS, PAIRS_EACH = 100_000, 4
 
 
 def _near(texts: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
@@ -56,30 +58,47 @@ def _near(texts: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     return near
 
 
-def _candidates(members: DataFrame, similarity: float) -> DataFrame:
-    """(a, b) of every two texts of ``members`` (_key, _words, _value, _root) with a value in common.
+def _pairs(one: DataFrame, two: DataFrame, similarity: float, apart: Column | None = None) -> DataFrame:
+    """(a, b) of the texts of ``one`` and ``two`` (_key, _words, _value, _root) that have a value in common.
 
-    Texts of one root are linked anyway, and lengths rule out some pairs; neither become rows.
+    Lengths rule out some pairs, and ``apart`` over ``_root_one`` and ``_root_two`` others; neither become rows.
     """
-    one = members.select("_value", *[F.col(c).alias(f"{c}_one") for c in ("_key", "_words", "_root")])
-    two = members.select("_value", *[F.col(c).alias(f"{c}_two") for c in ("_key", "_words", "_root")])
-    shorter = F.least("_words_one", "_words_two")
-    joined = one.alias("o").join(two.alias("t"), (F.col("o._value") == F.col("t._value"))
-                                 & (F.col("_root_one") < F.col("_root_two"))
-                                 & (shorter >= similarity * F.greatest("_words_one", "_words_two") - 1e-9))
+    one = one.select("_value", *[F.col(c).alias(f"{c}_one") for c in ("_key", "_words", "_root")])
+    two = two.select("_value", *[F.col(c).alias(f"{c}_two") for c in ("_key", "_words", "_root")])
+    how = (F.col("o._value") == F.col("t._value")) & (
+        F.least("_words_one", "_words_two") >= similarity * F.greatest("_words_one", "_words_two") - 1e-9)
+    joined = one.alias("o").join(two.alias("t"), how if apart is None else how & apart)
     return joined.select(F.least("_key_one", "_key_two").alias("a"), F.greatest("_key_one", "_key_two").alias("b"))
 
 
+def _candidates(members: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) of every two texts of ``members`` with a value in common that are not of one root."""
+    return _pairs(members, members, similarity, F.col("_root_one") < F.col("_root_two"))
+
+
 def _join_roots(members: DataFrame, roots: DataFrame) -> DataFrame:
     known = roots.select(F.col("node").alias("_key"), F.col("root").alias("_root"))
     return members.join(known, "_key", "left").withColumn("_root", F.coalesce("_root", "_key"))
 
 
 def _mixed(members: DataFrame) -> DataFrame:
-    """Stored (_value, _n) of the values whose texts are in more than one component."""
-    return materialize(members.groupBy("_value").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_root").alias("_one"), F.max("_root").alias("_other"))
-        .where(F.col("_one") != F.col("_other")).select("_value", "_n"), "near_mixed")
+    """Stored (_value, _n, _main, _meets) of the values whose texts are in more than one component.
+
+    ``_n`` texts, of which ``_main`` has most; a text of another component is in ``_meets`` pairs, each counted once.
+    """
+    each = members.groupBy("_value", "_root").agg(F.count(F.lit(1)).alias("_m"))
+    each = each.groupBy("_value").agg(F.sum("_m").alias("_n"), F.max(F.struct("_m", "_root")).alias("_most"))
+    meets = (F.col("_n") + F.col("_most._m")) / 2
+    return materialize(each.where(F.col("_most._m") < F.col("_n")).select(
+        "_value", "_n", F.col("_most._root").alias("_main"), meets.alias("_meets")), "near_mixed")
+
+
+def _of_mixed(members: DataFrame) -> DataFrame:
+    """Stored ``members`` of the values whose texts are in more than one component, with ``_n``, ``_main`` and ``_meets``."""
+    mixed = _mixed(members)
+    kept = materialize(members.join(broadcast_if_small(mixed), "_value"), "near_rest")
+    release(mixed)
+    return kept
 
 
 class _Links:
@@ -94,6 +113,9 @@ class _Links:
         if self.compared is not None:
             pairs = pairs.join(self.compared, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "near_candidates")
+        if self.roots is not None and pairs.isEmpty():
+            release(pairs)
+            return
         self.compared = pairs if self.compared is None else self.compared.unionAll(pairs)
         near = _near(self.texts, pairs, self.similarity)
         if self.roots is None:
@@ -117,37 +139,69 @@ def _ends_first(links: _Links, members: DataFrame, parts: int) -> DataFrame:
     """Compare the texts of each value with the smallest and the largest of each of its parts.
 
     Returns the stored members of values that are not all in one component yet, without those ends.
+    With ``_main``, the component that has most texts of a value, two texts of it never meet: one of
+    the two is always of another component.
     """
     part = F.pmod(F.xxhash64("_key"), F.lit(parts))
     member = F.struct("_key", "_words", "_root")
+    known = "_main" in members.columns
     ends = materialize(members.groupBy("_value", part.alias("_part")).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(member).alias("_low"), F.max(member).alias("_high"))
+        F.count(F.lit(1)).alias("_n"), F.min(member).alias("_low"), F.max(member).alias("_high"),
+        *[F.min("_main").alias("_main")] * known)
         .where(F.lit(parts > 1) | (F.col("_n") > 1)), "sketch_ends")
-    linked = members.join(ends.select("_value", "_low", "_high"), "_value")
-    linked = linked.select("_key", "_words", "_root", F.explode(F.array("_low", "_high")).alias("_end"))
-    shorter, longer = F.least("_words", "_end._words"), F.greatest("_words", "_end._words")
-    links.compare(linked.where((F.col("_root") != F.col("_end._root"))
-                               & (shorter >= links.similarity * longer - 1e-9))
-                  .select(F.least("_key", "_end._key").alias("a"), F.greatest("_key", "_end._key").alias("b")))
+    if known:
+        each = ends.select("_value", "_main", F.explode(F.array_distinct(F.array("_low", "_high"))).alias("_end"))
+        each = each.select("_value", "_main", "_end.*")
+        other = F.col("_root") != F.col("_main")
+        links.compare(
+            _pairs(members.where(other), each, links.similarity, F.col("_root_one") != F.col("_root_two"))
+            .unionAll(_pairs(members.where(~other), each.where(other), links.similarity)))
+    else:
+        linked = members.join(ends.select("_value", "_low", "_high"), "_value")
+        linked = linked.select("_key", "_words", "_root", F.explode(F.array("_low", "_high")).alias("_end"))
+        shorter, longer = F.least("_words", "_end._words"), F.greatest("_words", "_end._words")
+        links.compare(linked.where((F.col("_root") != F.col("_end._root"))
+                                   & (shorter >= links.similarity * longer - 1e-9))
+                      .select(F.least("_key", "_end._key").alias("a"), F.greatest("_key", "_end._key").alias("b")))
     inner = ends.where(F.col("_n") > (3 if parts == 1 else 2)).select(
         "_value", "_part", F.col("_low._key").alias("_least"), F.col("_high._key").alias("_most"))
     rest = (members.select("_key", "_words", "_value", part.alias("_part")).join(inner, ["_value", "_part"])
             .where((F.col("_key") != F.col("_least")) & (F.col("_key") != F.col("_most")))
             .select("_key", "_words", "_value"))
     rest = materialize(_join_roots(rest, links.roots), "near_rest")
-    mixed = _mixed(rest)
-    kept = materialize(rest.join(broadcast_if_small(mixed), "_value"), "near_rest")
-    release(ends, rest, mixed)
+    kept = _of_mixed(rest)
+    release(ends, rest)
     return kept
 
 
+def _compare_rest(links: _Links, rest: DataFrame) -> None:
+    """Compare texts with a value in common, until all of a value that were not compared are in one component.
+
+    Only pairs of two components count, so a value of one large component and a few other texts costs
+    the product of the two. Where there are many, rounds link what they can before.
+    """
+    rest, parts = _of_mixed(rest), 1
+    while True:
+        other = F.col("_root") != F.col("_main")
+        size, pairs = rest.agg(F.count(F.lit(1)), F.sum(F.when(other, F.col("_meets")))).first()
+        if not size:
+            return
+        if pairs <= max(PAIRS, PAIRS_EACH * size):
+            few = rest.where(other)
+            links.compare(_candidates(few, links.similarity)
+                          .unionAll(_pairs(few, rest.where(~other), links.similarity)))
+            return
+        rest = _ends_first(links, rest, parts)
+        parts *= MORE_PARTS
+
+
 def _values(runs: DataFrame) -> np.ndarray:
     return np.sort(np.array([r._value for r in runs.select("_value").collect()], np.int64))
 
 
 def _rare_runs_first(links: _Links, texts: DataFrame, hot: DataFrame, k: int, limit: int,
                      max_bytes: int = COMMON_BYTES) -> DataFrame:
-    """Stored (_key, _words, _value, _root, _common): runs, some of which near texts have in common.
+    """Stored (_key, _words, _value, _common): runs, some of which near texts have in common.
 
     ``hot`` has the keys of the texts in question. Their runs are put in one order, in which those
     that more than ``limit`` of the texts have come last. Two texts with n runs each at most that share a
@@ -177,8 +231,9 @@ def _rare_runs_first(links: _Links, texts: DataFrame, hot: DataFrame, k: int, li
                          "common_runs")
     if few:
         known = _values(common)
-        first = in_small_batches(chosen).mapInArrow(
-            partial(first_run_batches, k=k, common=known, similarity=links.similarity),
+        alone = tasks <= 1
+        first = in_small_batches(chosen.coalesce(1) if alone else chosen).mapInArrow(
+            partial(first_run_batches, k=k, common=known, similarity=links.similarity, alone=alone),
             "_key binary, _words bigint, _value bigint, _common boolean")
     else:
         place = Window.partitionBy("_key").orderBy("_common", "_value")
@@ -201,8 +256,9 @@ def near_roots(texts: DataFrame, similarity: float = SIMILARITY, k: int = RUN, p
     component yet, every two are. A larger one stems from a passage that many unlike texts have; its
     texts are compared when they share a rare one of their first runs, which is exact for texts
     that share ``similarity`` of their runs. Texts whose first runs reach into common ones are made of
-    common passages almost wholly; those that share such a run are compared in rounds, each of which
-    takes out the ends of more and smaller parts, until all that remain are in one component.
+    common passages almost wholly; those that share such a run and are in two components are compared,
+    all at once where such pairs are few, else in rounds, each of which takes out the ends of more and
+    smaller parts, until all that remain are in one component.
     """
     texts = texts.where(F.col("_text").isNotNull())
     sketched = in_small_batches(texts.select("_key", "_text")).mapInArrow(
@@ -227,10 +283,7 @@ def near_roots(texts: DataFrame, similarity: float = SIMILARITY, k: int = RUN, p
     links.compare(pairs.unionAll(_candidates(materialize(rare, "rare_runs"), similarity)))
     rest = materialize(_join_roots(first.where("_common").select("_key", "_words", "_value"), links.roots), "near_rest")
     release(first)
-    parts = 1
-    while not _mixed(rest).isEmpty():
-        rest = _ends_first(links, rest.select("_key", "_words", "_value", "_root"), parts)
-        parts *= MORE_PARTS
+    _compare_rest(links, rest)
     return links.roots
 
 

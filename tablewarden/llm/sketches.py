@@ -173,12 +173,26 @@ def counted_run_batches(batches: Iterator[pa.RecordBatch], k: int, more_than: in
     yield pa.RecordBatch.from_arrays([pa.array(runs[many]), pa.array(counts[many])], ["_value", "_texts"])
 
 
-def first_run_batches(batches: Iterator[pa.RecordBatch], k: int, common: np.ndarray, similarity: float
-                      ) -> Iterator[pa.RecordBatch]:
+def first_run_batches(batches: Iterator[pa.RecordBatch], k: int, common: np.ndarray, similarity: float,
+                      alone: bool = False) -> Iterator[pa.RecordBatch]:
     """(key, text) in; (key, words, run, whether it is in ``common``) of the first runs of each text out.
 
-    ``common`` is sorted. Common runs come last, otherwise runs are in order of their value.
+    ``common`` is sorted. Common runs come last, otherwise runs are in order of their value. A task that is
+    ``alone`` has all texts, so a run that is among the first of one of them only can link none and is left out.
     """
+    made = _first_runs(batches, k, common, similarity)
+    if not alone:
+        yield from made
+        return
+    made = list(made)
+    if made:
+        runs, counts = np.unique(np.concatenate([b.column(2) for b in made]), return_counts=True)
+        for b in made:
+            yield b.filter(pa.array(counts[np.searchsorted(runs, b.column(2))] > 1))
+
+
+def _first_runs(batches: Iterator[pa.RecordBatch], k: int, common: np.ndarray, similarity: float
+                ) -> Iterator[pa.RecordBatch]:
     for batch in run_batches(batches, k):
         lists = batch.column(2)
         sizes = np.diff(np.asarray(lists.offsets))

@@ -1,11 +1,14 @@
 import random
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
+from tablewarden.llm import near_dedup
 from tablewarden.llm.components import components
 from tablewarden.llm.near_dedup import deduplicate, near_duplicates
 from tablewarden.llm.near_dedup import PICKS, RUN, SKETCHES
-from tablewarden.llm.sketches import aligned_distance, allowed_edits, order_sketches, words_of
+from tablewarden.llm.sketches import aligned_distance, allowed_edits, first_run_batches, order_sketches, words_of
 from tests.llm.conftest import SMALL
 
 
@@ -117,6 +120,60 @@ def test_texts_of_common_passages_wholly(spark):
     assert grouped(near_duplicates(df, bucket=5, common_bytes=0).collect()) == want
 
 
+def test_a_task_alone_gives_out_only_runs_that_two_texts_have():
+    rng = random.Random(9)
+    shared = [f"s{i}" for i in range(40)]
+    texts = [" ".join(shared + rng.choices([f"t{i}u{j}" for j in range(500)], k=8)) for i in range(30)]
+    texts += [" ".join(f"v{i}w{j}" for j in range(50)) for i in range(30)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([b"%d" % i for i in range(at, at + 20)], pa.binary()), pa.array(texts[at:at + 20])],
+                                          ["_key", "_text"]) for at in range(0, 60, 20)]
+    every, alone = ([tuple(r.values()) for b in first_run_batches(iter(batches), RUN, np.zeros(0, np.int64), 0.8, alone)
+                     for r in b.to_pylist()] for alone in (False, True))
+    held = Counter(r[2] for r in every)
+    assert alone == [r for r in every if held[r[2]] > 1] and 0 < len(alone) < len(every) / 2
+    assert list(first_run_batches(iter([]), RUN, np.zeros(0, np.int64), 0.8, True)) == []
+
+
+def rows_of_joins(df):
+    """Rows that the joins of a plan make when it runs."""
+    df.collect()
+
+    def count(node):
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return count(node.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return count(node.plan())
+        rows = node.metrics().apply("numOutputRows").value() if "Join" in kind else 0
+        return rows + sum(count(node.children().apply(i)) for i in range(node.children().size()))
+    return count(df._jdf.queryExecution().executedPlan())
+
+
+def test_few_texts_beside_many_near_copies_cost_no_square(spark, monkeypatch):
+    """Texts of the passages of a large class, in other orders: not near, with its common runs first."""
+    passages = [[f"p{i}w{j}" for j in range(25)] for i in range(4)]
+    base = [w for p in passages for w in p]
+    rows = [(i, " ".join(base[:i % 100] + [f"x{i}"] + base[i % 100:])) for i in range(300)]
+    rows += [(1000 + i, " ".join(w for p in order for w in passages[p])) for i, order in enumerate([[3, 2, 1, 0], [1, 0, 3, 2]])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    made, compare = [], near_dedup._Links.compare
+
+    def counted(links, pairs):
+        made.append(rows_of_joins(pairs))
+        compare(links, pairs)
+    monkeypatch.setattr(near_dedup._Links, "compare", counted)
+    want = [list(range(300)), [1000], [1001]]
+    assert grouped(near_duplicates(df, bucket=5).collect()) == want
+    # Two of 302 texts are of other components, in the runs that come first: 24 of each text.
+    assert sum(made[1:]) < 24 * 2 * 302
+    # In rounds, too, pairs are joined only when they are of two components.
+    monkeypatch.setattr(near_dedup, "PAIRS", 0)
+    monkeypatch.setattr(near_dedup, "PAIRS_EACH", 0)
+    made.clear()
+    assert grouped(near_duplicates(df, bucket=5).collect()) == want
+    assert len(made) > 3 and sum(made[1:]) < 24 * 2 * 302
+
+
 def classes_by_shared_sketches(rows):
     """All pairs that share a sketch value are aligned; the texts are distinct and have words."""
     cut = [words_of(t.encode()) for _, t in rows]
