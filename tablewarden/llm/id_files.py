@@ -23,7 +23,7 @@ import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 
-from tablewarden.llm.units import encoder
+from tablewarden.llm.units import encoder, portions
 
 MAGIC = b"TWIDS01\n"
 _TAIL = 16 + len(MAGIC)
@@ -31,8 +31,8 @@ LEVEL = 3
 # A shard ends with the document that brings its frames to this size.
 SHARD_BYTES = 16_000_000
 _OUT_BYTES = 16_000_000
-# Characters that are cut into pieces at a time; a piece takes many times its length.
-_GROUP_CHARS = 1_000_000
+# Characters that are cut into pieces at a time; what is made of them takes many times their length.
+_GROUP_CHARS = 4_000_000
 
 
 def digest_of(dictionary: bytes) -> str:
@@ -71,32 +71,40 @@ def slices_of(ids: pa.Array, bounds: np.ndarray, null_slices: int, salts: np.nda
     return np.where(null, -1 - salts % max(null_slices, 1), own)
 
 
-def _groups(texts: pa.Array) -> Iterator[list[str]]:
-    """Texts in order, so many at a time that they have about ``_GROUP_CHARS`` characters; NULL is empty."""
-    group, chars = [], 0
-    for i in range(len(texts)):
-        group.append(texts[i].as_py() or "")
-        chars += len(group[-1])
-        if chars >= _GROUP_CHARS:
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """Batches in order, so many at a time that their texts have about ``_GROUP_CHARS`` bytes."""
+    group, size = [], 0
+    for batch in batches:
+        group.append(batch)
+        size += batch.column(1).nbytes
+        if size >= _GROUP_CHARS:
             yield group
-            group, chars = [], 0
+            group, size = [], 0
     if group:
         yield group
 
 
 def encode_batches(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int | None, dictionary: bytes,
                    bounds: np.ndarray, null_slices: int) -> Iterator[pa.RecordBatch]:
-    """(id, text) in; (slice, id, number of ids, frame) out."""
+    """(id, text) in; (slice, id, number of ids, frame) out.
+
+    Small batches are encoded together: the more texts at a time, the fewer times a piece is looked up.
+    """
     tool, frame = encoder(tokenizer), Compressor(dictionary).frame
     end = b"" if end_id is None else int(end_id).to_bytes(4, "little")
     seen = itertools.count(TaskContext.get().partitionId() if TaskContext.get() else 0)
-    for batch in batches:
-        salts = np.fromiter(itertools.islice(seen, batch.num_rows), np.int64, batch.num_rows)
-        made = [ids + end for texts in _groups(batch.column(1)) for ids in tool.encode(texts)]
+    for group in _gathered(batches):
+        idents = pa.concat_arrays([batch.column(0) for batch in group])
+        salts = np.fromiter(itertools.islice(seen, len(idents)), np.int64, len(idents))
+        texts = (t.as_py() or "" for batch in group for t in batch.column(1))
+        counts, frames = [], []
+        for part in portions(texts, _GROUP_CHARS):
+            for ids in tool.encode(part):
+                counts.append((len(ids) + len(end)) // 4)
+                frames.append(frame(ids + end))
         yield pa.RecordBatch.from_arrays([
-            pa.array(slices_of(batch.column(0), bounds, null_slices, salts), pa.int64()), batch.column(0),
-            pa.array([len(m) // 4 for m in made], pa.int64()),
-            pa.array([frame(m) for m in made], pa.binary())], ["slice", "id", "n_tokens", "frame"])
+            pa.array(slices_of(idents, bounds, null_slices, salts), pa.int64()), idents,
+            pa.array(counts, pa.int64()), pa.array(frames, pa.binary())], ["slice", "id", "n_tokens", "frame"])
 
 
 class _Shard:

@@ -1,19 +1,23 @@
 """Token ids of many texts by the tokenizers library, each distinct piece of text encoded once.
 
 Between two characters that are not white space a single blank always starts a new word of a
-byte-level tokenizer, so a text cut at such blanks can be encoded piece by piece. Pieces repeat, and
-a task remembers them. What a piece is made of is cut further by the tokenizer's own word pattern,
-where the characters leave no doubt about it; other pieces go to the library whole.
+byte-level tokenizer, so a text cut at such blanks can be encoded piece by piece. Pieces repeat:
+Arrow numbers the distinct ones of many texts, Python sees each of those once, and a task remembers
+them. What a piece is made of is cut further by the tokenizer's own word pattern, where the
+characters leave no doubt about it; other pieces go to the library whole.
 """
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
-from collections.abc import Iterable
-from functools import lru_cache
+from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache, partial
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import regex
 
@@ -23,8 +27,24 @@ PIECES, WORDS = 300_000, 400_000
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Characters whose classes all libraries agree on.
 _PLAIN = re.compile("[\n\x20-\x7e\xa1-ɏ]*").fullmatch
+# One word of letters, then one of marks or none: what most pieces are.
+_SIMPLE = re.compile("([A-Za-zªµºÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@[-`{-~]*)").fullmatch
 _LONE_BLANK = re.compile(r"(?<!\s) (?!\s)")
-_JOINED = 2_000
+# Characters that the library encodes at a time; its result takes many times their length.
+_WHOLE_CHARS = 1_000_000
+
+
+def portions(texts: Iterable[str], chars: int) -> Iterator[list[str]]:
+    """Texts in order, a portion ending with the one that brings it to ``chars`` characters."""
+    part, size = [], 0
+    for text in texts:
+        part.append(text)
+        size += len(text)
+        if size >= chars:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
 
 
 class _Remembered:
@@ -33,19 +53,22 @@ class _Remembered:
     def __init__(self, size: int):
         self.size, self.new, self.old = size, {}, {}
 
-    def missing(self, keys: Iterable[str]) -> list[str]:
-        """The keys that are not known; the others are in ``new`` afterwards."""
+    def values(self, keys: list[str], learn: Callable[[list[str]], list[bytes]]) -> list[bytes]:
+        """The values of the keys; ``learn`` gives those that are not known."""
         if len(self.new) > self.size:
             self.old, self.new = self.new, {}
-        new, old = self.new, self.old
-        out = []
-        for k in keys:
-            if k not in new:
-                if k in old:
-                    new[k] = old[k]
-                else:
-                    out.append(k)
-        return out
+        values = list(map(self.new.get, keys))
+        gaps = [i for i, v in enumerate(values) if v is None]
+        asked = [keys[i] for i in gaps]
+        found = list(map(self.old.get, asked))
+        new = self.new
+        new.update((k, v) for k, v in zip(asked, found, strict=True) if v is not None)
+        unknown = list(dict.fromkeys([k for k, v in zip(asked, found, strict=True) if v is None]))
+        learned = dict(zip(unknown, learn(unknown), strict=True))
+        new.update(learned)
+        for i, key, value in zip(gaps, asked, found, strict=True):
+            values[i] = learned[key] if value is None else value
+        return values
 
 
 class Encoder:
@@ -57,72 +80,101 @@ class Encoder:
         from tokenizers import Tokenizer, pre_tokenizers
         self.library = Tokenizer.from_str(data)
         kind = self.library.pre_tokenizer
-        plain = (isinstance(kind, pre_tokenizers.ByteLevel) and not kind.add_prefix_space
-                 and self.library.normalizer is None
-                 and getattr(kind, "use_regex", True))
-        line = self._whole(["\n"])[0]
-        self.line = int.from_bytes(line, "little") if plain and len(line) == 4 else None
+        self.plain = (isinstance(kind, pre_tokenizers.ByteLevel) and not kind.add_prefix_space
+                      and self.library.normalizer is None
+                      and getattr(kind, "use_regex", True))
+        self.model = self.library.model
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.words, self.pieces, self.firsts = (_Remembered(WORDS), _Remembered(PIECES), _Remembered(PIECES))
         self.find = regex.compile(WORD).findall
+        # What the library writes for the bytes of a plain character.
+        alone = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.written = {i: alone(chr(i))[0][0] for i in range(0x250) if _PLAIN(chr(i))}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes()
-                for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn_words(self, words: set[str]) -> None:
-        """Words are encoded by the library many at a time, in lines."""
-        new = self.words.missing(words)
-        spaces = [w for w in new if w.isspace()]
-        self.words.new.update(zip(spaces, self._whole(spaces), strict=True))
-        lines = [w for w in new if not w.isspace()]
-        for i in range(0, len(lines), _JOINED):
-            part = lines[i:i + _JOINED]
-            ids = np.array(self.library.encode("\n".join(part), add_special_tokens=False).ids, "<u4")
-            cuts = [0, *(np.flatnonzero(ids == self.line) + 1).tolist(), len(ids) + 1]
-            if len(cuts) != len(part) + 1:
-                raise ValueError("the tokenizer joins lines")
-            packed = ids.tobytes()
-            self.words.new.update((w, packed[4 * cuts[j]:4 * cuts[j + 1] - 4]) for j, w in enumerate(part))
-
-    def _learn(self, known: _Remembered, pieces: Iterable[str], before: str) -> None:
-        """Remember the ids of ``before`` + piece for the pieces."""
-        parts, whole = {}, []
-        for piece in known.missing(pieces):
-            if _PLAIN(piece):
-                parts[piece] = self.find(before + piece)
+        return [np.array(e.ids, "<u4").tobytes() for part in portions(texts, _WHOLE_CHARS)
+                for e in self.library.encode_batch_fast(part, add_special_tokens=False)]
+
+    def _of_words(self, words: list[str]) -> list[bytes]:
+        """Words of plain characters go to the library's model at once; they need no cutting."""
+        tokenize, made = self.model.tokenize, []
+        for part in portions(words, _WHOLE_CHARS):
+            ids, ends = [], [0]
+            # A tabulator is not a plain character.
+            for written in "\t".join(part).translate(self.written).split("\t"):
+                ids += [t.id for t in tokenize(written)]
+                ends.append(len(ids))
+            packed = np.array(ids, "<u4").tobytes()
+            made += [packed[4 * i:4 * j] for i, j in itertools.pairwise(ends)]
+        return made
+
+    def _of_pieces(self, pieces: list[str], before: str) -> list[bytes]:
+        """The ids of ``before`` + piece for the pieces."""
+        words, counts, whole = [], [], []
+        for piece in pieces:
+            if simple := _SIMPLE(piece):
+                letters, marks = simple.groups()
+                words.append(before + letters)
+                if marks:
+                    words.append(marks)
+                counts.append(2 if marks else 1)
+            elif _PLAIN(piece):
+                found = self.find(before + piece)
+                words += found
+                counts.append(len(found))
             else:
-                whole.append(piece)
-        known.new.update(zip(whole, self._whole([before + p for p in whole]), strict=True))
-        self._learn_words({w for p in parts.values() for w in p})
-        words = self.words.new
-        for piece, found in parts.items():
-            known.new[piece] = b"".join([words[w] for w in found])
+                whole.append(before + piece)
+                counts.append(-1)
+        ids, others = iter(self.words.values(words, self._of_words)), iter(self._whole(whole))
+        return [next(ids) if n == 1 else next(others) if n < 0 else b"".join(itertools.islice(ids, n)) for n in counts]
+
+    def _joined(self, coded: pa.DictionaryArray, ends: np.ndarray) -> list[bytes]:
+        """The ids of texts that are given as all their pieces and the places between texts."""
+        codes, starts = np.array(coded.indices, np.int64), ends[:-1]
+        # No blank comes before the first piece of a text.
+        firsts = coded.dictionary.take(pa.array(codes[starts])).to_pylist()
+        codes[starts] = -1
+        used = np.zeros(len(coded.dictionary) + 1, bool)
+        used[codes] = True
+        # numpy makes the strings many times as fast as to_pylist.
+        rest = coded.dictionary.filter(pa.array(used[:-1])).to_numpy(zero_copy_only=False).tolist()
+        codes = (np.cumsum(used) - 1)[codes]
+        codes[starts] = len(rest) + np.arange(len(firsts))
+        known = self.pieces.values(rest, partial(self._of_pieces, before=" "))
+        known += self.firsts.values(firsts, partial(self._of_pieces, before=""))
+        _, places, data = pa.array(known, pa.large_binary()).take(pa.array(codes)).buffers()
+        at = np.frombuffer(places, np.int64)[ends].tolist()
+        packed = memoryview(data or b"")
+        return [bytes(packed[i:j]) for i, j in itertools.pairwise(at)]
+
+    def _loose(self, texts: list[str]) -> list[bytes]:
+        cut = pa.array([_LONE_BLANK.split(t) for t in texts], pa.list_(pa.large_string()))
+        return self._joined(cut.values.dictionary_encode(), np.asarray(cut.offsets))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if self.line is None or not texts:
+        if not self.plain or not texts:
             return self._whole(texts)
         # The library finds special tokens before it finds words.
         odd = [any(s in t for s in self.special) for t in texts]
         if any(odd):
-            whole = iter(self._whole([t for t, o in zip(texts, odd, strict=True) if o]))
-            rest = iter(self.encode([t for t, o in zip(texts, odd, strict=True) if not o]))
-            return [next(whole if o else rest) for o in odd]
-        cut = [text.split(" ") for text in texts]
-        distinct: set[str] = set()
-        for pieces in cut:
-            distinct.update(pieces)
+            return _dealt(texts, odd, self._whole, self.encode)
+        cut = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        coded, ends = cut.values.dictionary_encode(), np.asarray(cut.offsets)
         # Blanks next to other white space stay inside a piece.
-        loose = {p for p in distinct if not p or p[0].isspace() or p[-1].isspace()}
-        if loose:
-            cut = [p if loose.isdisjoint(p) else _LONE_BLANK.split(t) for p, t in zip(cut, texts, strict=True)]
-        self._learn(self.firsts, {p[0] for p in cut}, "")
-        rest: set[str] = set()
-        for pieces in cut:
-            rest.update(pieces[1:])
-        self._learn(self.pieces, rest, " ")
-        first, known = self.firsts.new, self.pieces.new
-        return [first[p[0]] + b"".join([known[x] for x in p[1:]]) for p in cut]
+        pieces = coded.dictionary
+        loose = np.array(pc.or_(pc.equal(pieces, ""), pc.not_equal(pc.utf8_trim_whitespace(pieces), pieces)))
+        if loose.any():
+            found = np.logical_or.reduceat(loose[np.asarray(coded.indices)], ends[:-1])
+            return _dealt(texts, found.tolist(), self._loose, self.encode)
+        return self._joined(coded, ends)
+
+
+def _dealt(texts: list[str], odd: list[bool], one: Callable[[list[str]], list[bytes]],
+           other: Callable[[list[str]], list[bytes]]) -> list[bytes]:
+    """``one`` of the odd texts and ``other`` of the rest, in the order of the texts."""
+    ones = iter(one([t for t, o in zip(texts, odd, strict=True) if o]))
+    others = iter(other([t for t, o in zip(texts, odd, strict=True) if not o]))
+    return [next(ones if o else others) for o in odd]
 
 
 def read_text(path: str) -> str:

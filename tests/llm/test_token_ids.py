@@ -117,3 +117,46 @@ def test_a_large_batch_is_encoded_in_bounded_groups(monkeypatch):
     out = list(id_files.encode_batches(iter([batch]), PATH, 2, b"", np.array([], np.int64), 1))
     assert max(taken) <= id_files._GROUP_CHARS + 1_500 and sum(taken) == 2_000 * 1_500
     assert out[0].column("n_tokens").to_pylist() == [len(plain(t)) // 4 + 1 for t in made]
+
+
+def test_small_batches_are_encoded_together(monkeypatch):
+    taken = []
+
+    class Tool:
+        def encode(self, texts):
+            taken.append(len(texts))
+            return [plain(t) for t in texts]
+    monkeypatch.setattr(id_files, "encoder", lambda path: Tool())
+    made = [["a word", None], [], ["", "two words"], ["a word"]]
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(len(m)), pa.int64()), pa.array(m, pa.string())], ["id", "text"])
+               for m in made]
+    out = pa.Table.from_batches(id_files.encode_batches(iter(batches), PATH, 2, b"", np.array([], np.int64), 1))
+    assert taken == [5]
+    assert out["id"].to_pylist() == [0, 1, 0, 1, 0]
+    assert out["n_tokens"].to_pylist() == [len(plain(t)) // 4 + 1 for m in made for t in m]
+
+
+def test_plain_words_go_to_the_model_once():
+    tool, asked = units.Encoder(units.read_text(PATH)), []
+
+    class Model:
+        def tokenize(self, word, tokenize=tool.model.tokenize):
+            asked.append(word)
+            return tokenize(word)
+    tool.library, tool.model = None, Model()
+    made = ["Ünder wörds, and marks (two).\n\nIt's 12 wörds"] * 50 + ["wörds and wörds and"]
+    assert tool.encode(made) == [plain(t) for t in made] and tool.encode(made) == [plain(t) for t in made]
+    assert len(asked) == len(set(asked))
+
+
+def test_every_plain_character_by_every_neighbour():
+    plain_ones = [chr(i) for i in range(0x250) if units._PLAIN(chr(i))]
+    made = [f"{a}{c}{b}" for c in plain_ones for a in ("", "x", "x ", "'", "1") for b in ("", "y", " y", "'s", ".", "2")]
+    assert units.Encoder(units.read_text(PATH)).encode(made) == [plain(t) for t in made]
+
+
+def test_texts_with_loose_blanks_lie_among_others():
+    made = ["a b", "a  b c", "", " a b", "a b ", "a \nb c", "\x1c a", "漢 字", "漢  字", "x<|endoftext|> y z", "a b"]
+    tool = units.Encoder(units.read_text(PATH))
+    for _ in range(2):
+        assert tool.encode(made) == [plain(t) for t in made]
